@@ -1,0 +1 @@
+"""The analytics here are batch jobs; there are no streaming operators."""
