@@ -71,7 +71,7 @@ def classifier(
     elif method == "LR":
         estimator = LogisticRegression(**cols, **raw, **settings, family="multinomial")
     else:
-        estimator = GBTClassifier(**cols, **raw, **settings, seed=seed)
+        estimator = _boosted(GBTClassifier(**cols, **settings, seed=seed))
     choices = CHOICES[method] if grid else {k: [v] for k, v in settings.items()}
     return estimator, param_grid(estimator, choices)
 
@@ -80,15 +80,13 @@ def expert_classifier(
     features: str, label: str = "final_response", seed: int = 42, **settings
 ) -> GBTClassifier:
     """Many small boosting steps on deeper trees; trees grow level by level."""
-    return GBTClassifier(
-        featuresCol=features,
-        labelCol=label,
-        predictionCol=predict_col("int"),
-        probabilityCol=predict_col("prob"),
-        rawPredictionCol=predict_col("raw"),
-        seed=seed,
-        **{**EXPERT, **settings},
-    )
+    cols = {"featuresCol": features, "labelCol": label, "predictionCol": predict_col("int")}
+    return _boosted(GBTClassifier(**cols, seed=seed, **{**EXPERT, **settings}))
+
+
+def _boosted(estimator: GBTClassifier) -> GBTClassifier:
+    """Name the score columns, which this class takes by setter only."""
+    return estimator.setRawPredictionCol(predict_col("raw")).setProbabilityCol(predict_col("prob"))
 
 
 def param_grid(estimator: Params, choices: dict[str, Sequence]) -> list[dict]:

@@ -27,7 +27,7 @@ def value_stats(df: DataFrame, value: str, keys: Sequence[str], required: Sequen
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
     """Counts per ``row`` with one column per value; the values are given, not searched."""
-    table = df.groupBy(row).pivot(column, list(values)).agg(F.count("*"))
+    table = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
     return table.fillna(0, [str(v) for v in values])
 
 

@@ -6,6 +6,7 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MAX_SINGLE_FILE_ROWS = 1_000_000
 
@@ -54,7 +55,8 @@ def export_single_csv(df: DataFrame, path: str, max_rows: int = MAX_SINGLE_FILE_
 
 def json_records(df: DataFrame, max_rows: int = 1_000) -> str:
     """The rows as one JSON array, for small results."""
-    rows = df.limit(max_rows + 1).toJSON().collect()
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    rows = [r[0] for r in df.limit(max_rows + 1).select(text).collect()]
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows; use write_table with format json")
     return json.dumps([json.loads(r) for r in rows])
