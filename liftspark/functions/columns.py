@@ -21,6 +21,13 @@ def round_half_up(c: Column | str, digits: int = 4) -> Column:
     return F.floor(_col(c).cast("double") * scale + F.lit(0.5)).cast("double") / scale
 
 
+def rounded(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
+    """Round the listed columns half up, in one projection."""
+    text = f"cast(floor(cast(`{{c}}` AS DOUBLE) * 1e{digits}D + 0.5D) AS DOUBLE) / 1e{digits}D AS `{{c}}`"
+    chosen = set(cols)
+    return df.selectExpr(*[text.format(c=c) if c in chosen else f"`{c}`" for c in df.columns])
+
+
 def date_parts(df: DataFrame, date_col: str, keep: bool = False) -> DataFrame:
     """Weekday (Monday = 0), day of month and year, ISO week and month."""
     c = F.col(date_col)
@@ -88,9 +95,9 @@ def last_probability(df: DataFrame, col: str) -> Column:
 
 def flatten_vector(df: DataFrame, col: str, size: int, prefix: str = "e") -> DataFrame:
     """One double column per vector element, in place of the vector."""
-    values = as_array(df, col)
-    others = [F.col(c) for c in df.columns if c != col]
-    return df.select(*others, *[F.get(values, F.lit(i)).alias(f"{prefix}{i}") for i in range(size)])
+    others = [f"`{c}`" for c in df.columns if c != col]
+    elements = [f"get(_values, {i}) AS `{prefix}{i}`" for i in range(size)]
+    return df.withColumn("_values", as_array(df, col)).selectExpr(*others, *elements)
 
 
 def scrub_prediction(task: str, prediction: Column | str, probability: Column | str | None = None) -> Column:

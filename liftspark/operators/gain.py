@@ -9,10 +9,10 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasRawPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftspark.functions.columns import last_probability, round_half_up
+from liftspark.functions.columns import last_probability
 from liftspark.operators.prefix import cumulative_at
 
 # Upper edges of the bands, as shares of the ranked rows.
@@ -20,17 +20,19 @@ GAIN_EDGES = (0.01, 0.02, 0.03, 0.04, 0.05, 0.08, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6,
 TWO_DECILES = 0.2
 
 
-def _band(suffix: str, size: Column, responders: Column) -> list[Column]:
-    """Columns of one band; shares of nothing are null."""
-    rate = F.try_divide(responders.cast("double"), size)
-    gain = F.try_divide(responders.cast("double"), F.col("total"))
-    lift = gain * F.try_divide(F.col("n").cast("double"), size)
+def _band(suffix: str, size: str, responders: str) -> list[str]:
+    """SQL of one band's columns; shares of nothing are null."""
+
+    def rounded(value: str) -> str:
+        return f"cast(floor({value} * 1e4D + 0.5D) AS DOUBLE) / 1e4D"
+
+    gain = f"try_divide(cast({responders} AS DOUBLE), total)"
     return [
-        size.cast("bigint").alias(f"size_{suffix}"),
-        responders.cast("bigint").alias(f"resp_num_{suffix}"),
-        round_half_up(rate).alias(f"resp_rate_{suffix}"),
-        round_half_up(gain).alias(f"gain_{suffix}"),
-        round_half_up(lift).alias(f"lift_{suffix}"),
+        f"{size} AS size_{suffix}",
+        f"{responders} AS resp_num_{suffix}",
+        f"{rounded(f'try_divide(cast({responders} AS DOUBLE), {size})')} AS resp_rate_{suffix}",
+        f"{rounded(gain)} AS gain_{suffix}",
+        f"{rounded(f'{gain} * try_divide(cast(n AS DOUBLE), {size})')} AS lift_{suffix}",
     ]
 
 
@@ -54,30 +56,30 @@ def gain_table(
     edges = [float(e) for e in edges]
     if edges != sorted(set(edges)) or not 0 < edges[0] <= edges[-1] <= 1:
         raise ValueError("edges must increase within (0, 1]")
-    # the ranks below edge * n are the first ceil(edge * n) rows
+    shares = f"array({', '.join(f'{e!r}D' for e in edges)})"
     at = cumulative_at(
         df,
         score,
         id,
-        lambda n: [F.ceil(F.lit(e) * n.cast("double")) for e in edges],
+        # the ranks below edge * n are the first ceil(edge * n) rows
+        f"transform({shares}, e -> ceil(e * cast(n AS DOUBLE)))",
         keys,
         label,
         nulls=nulls,
         empty_keys="error" if no_responders == "error" else "ignore",
+        max_cuts=len(edges),
     )
-    order = Window.partitionBy(*keys).orderBy("cut")  # one row per edge
-    steps = at.withColumns(
-        {
-            "group": F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("cut") + 1),
-            "size": F.col("rank") - F.lag("rank", 1, 0).over(order),
-            "responders": F.col("cum") - F.lag("cum", 1, 0).over(order),
-        }
+    names = [f"`{k}`" for k in keys]
+    by_key = f"PARTITION BY {', '.join(names)}" if keys else ""
+    before = f"OVER ({by_key} ORDER BY cut)"  # one row per edge
+    steps = at.selectExpr(
+        "*",
+        f"element_at({shares}, cut + 1) AS group",
+        f"rank - lag(rank, 1, 0L) {before} AS size",
+        f"cum - lag(cum, 1, 0L) {before} AS responders",
     )
-    return steps.select(
-        *keys,
-        "group",
-        *_band("grp", F.col("size"), F.col("responders")),
-        *_band("cum", F.col("rank"), F.col("cum")),
+    return steps.selectExpr(
+        *names, "group", *_band("grp", "size", "responders"), *_band("cum", "rank", "cum")
     )
 
 

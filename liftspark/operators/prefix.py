@@ -15,12 +15,12 @@ the keys are skewed. Split points that are off cost balance, never correctness.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,17 +90,13 @@ def prepared(
 def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = None) -> Cells:
     """Count the rows, check the scores and choose the split points."""
     keyed, has_id = "_key" in rows.columns, "_id" in rows.columns
-    bad = F.col("_score").isNull() | F.isnan("_score")
     counts = rows.groupBy(*(["_key"] if keyed else [])).agg(
         F.count("*").alias("n"),
-        F.count_if(bad).alias("bad"),
+        F.expr("count_if(_score IS NULL OR isnan(_score))").alias("bad"),
         (F.sum(measure) if measure else F.count("*")).alias("m"),
     )
-    got = counts.agg(
-        F.sum("n").alias("n"),
-        F.sum("bad").alias("bad"),
-        F.count_if((F.col("n") > 0)).alias("keys"),
-        F.count_if((F.col("n") > 0) & (F.coalesce("m", F.lit(0)) == 0)).alias("empty"),
+    got = counts.selectExpr(
+        "sum(n) AS n", "sum(bad) AS bad", "count_if(n > 0) AS keys", "count_if(n > 0 AND coalesce(m, 0) = 0) AS empty"
     ).first()
     n, n_keys = got["n"] or 0, max(got["keys"], 1)
     if got["bad"]:
@@ -234,17 +230,19 @@ def cumulative_at(
     df: DataFrame,
     score: str,
     id: str | None,
-    cuts: Callable[[Column], Sequence[Column]],
+    cuts: str,
     keys: Sequence[str] = (),
     measure: str | None = None,
     descending: bool = True,
     nulls: str = "error",
     empty_keys: str = "ignore",
+    max_cuts: int = 64,
 ) -> DataFrame:
     """Running total of ``measure`` and the score at chosen ranks, per key.
 
-    ``cuts`` maps the row count of a key to 1-based ranks. The result has the
-    keys and ``cut`` (its index), ``rank``, ``n``, ``total``, ``cum``, ``value``.
+    ``cuts`` is SQL for an array of at most ``max_cuts`` 1-based ranks, given
+    the row count ``n`` of a key. The result has the keys and ``cut`` (the index
+    in the array), ``rank``, ``n``, ``total``, ``cum``, ``value``.
 
     Cells that no cut falls into contribute by their totals, which map-side
     aggregation keeps small. Only rows of the few cells that a cut divides are
@@ -252,20 +250,15 @@ def cumulative_at(
     """
     if measure and id is None:
         raise ValueError("running totals need an id to order equal scores")
-    wanted = [c for c in (*keys, score, id, measure) if c]
-    slim = df.select(*dict.fromkeys(wanted))
-    if measure:
-        slim = slim.withColumn("_m", F.coalesce(F.col(measure).cast("bigint"), F.lit(0).cast("bigint")))
-    else:
-        slim = slim.withColumn("_m", F.lit(0).cast("bigint"))
+    slim = df.select(*dict.fromkeys(c for c in (*keys, score, id, measure) if c))
+    slim = slim.withColumn("_m", F.expr(f"coalesce(cast(`{measure}` AS BIGINT), 0L)" if measure else "0L"))
     rows = prepared(slim, score, id, keys, descending, nulls)
     rows = rows.select("_score", "_m", *(["_id"] if id else []), *(["_key"] if keys else []))
     cells = plan_cells(rows, descending, "_m" if measure else None)
     if empty_keys == "error" and (cells.n_empty_keys or not cells.n_rows):
         raise ValueError(f"{cells.n_empty_keys} of {cells.n_keys} groups have no positive label")
     rows = assign_cells(rows, cells)
-    key, n_cuts = cells.key, len(cuts(F.lit(1)))
-    bound = cells.n_keys * n_cuts
+    key, bound = cells.key, cells.n_keys * max_cuts
 
     hist = rows.groupBy(*key, "_cell").agg(
         F.count("*").alias("size"),
@@ -273,41 +266,38 @@ def cumulative_at(
         F.min("_score").alias("lo"),
         F.max("_score").alias("hi"),
     )
-    over_key = Window.partitionBy(*key)
-    to_here = over_key.orderBy("_cell").rowsBetween(*_FIRST_TO_HERE)
-    hist = hist.select(
+    # windows over the counts per cell, not over rows
+    by_key = "PARTITION BY _key" if keys else ""
+    to_here = f"({by_key} ORDER BY _cell ROWS UNBOUNDED PRECEDING)"
+    hist = hist.selectExpr(
         "*",
-        F.sum("size").over(over_key).alias("n"),
-        F.sum("sum").over(over_key).alias("total"),
-        F.sum("size").over(to_here).alias("end"),
-        F.sum("sum").over(to_here).alias("cum"),
+        f"sum(size) OVER ({by_key}) AS n",
+        f"sum(sum) OVER ({by_key}) AS total",
+        f"sum(size) OVER {to_here} AS end",
+        f"sum(sum) OVER {to_here} AS cum",
     )
-    ranks = F.array(
-        *[F.struct(F.lit(i).alias("cut"), c.cast("bigint").alias("rank")) for i, c in enumerate(cuts(F.col("n")))]
-    )
-    hits = F.filter(ranks, lambda c: (c["rank"] > F.col("end") - F.col("size")) & (c["rank"] <= F.col("end")))
-    whole = F.col("rank") == F.col("end")
-    if measure is None:
-        whole = whole | (F.col("lo") == F.col("hi"))
+    ranks = f"transform({cuts}, (r, i) -> struct(i AS cut, cast(r AS BIGINT) AS rank))"
+    hits = hist.selectExpr("*", f"inline(filter({ranks}, c -> c.rank > end - size AND c.rank <= end))")
+    whole = "rank = end" if measure else "(rank = end OR lo = hi)"
     found = pinned(
-        hist.select("*", F.inline(hits)).select(
+        hits.selectExpr(
             *key,
             "cut",
             "rank",
             "n",
             "total",
             "_cell",
-            whole.alias("whole"),
-            (F.col("rank") - F.col("end") + F.col("size")).alias("rest"),
-            F.when(whole, F.col("cum")).otherwise(F.col("cum") - F.col("sum")).alias("cum"),
-            F.col("lo" if descending else "hi").alias("value"),
+            "0 AS _sub",
+            f"{whole} AS whole",
+            "rank - end + size AS rest",
+            f"if({whole}, cum, cum - sum) AS cum",
+            f"{'lo' if descending else 'hi'} AS value",
         ),
         bound,
     )
-    out_key = [F.col(f"_key.{k}").alias(k) for k in keys]
-    result = ["cut", "rank", "n", "total", "cum", "value"]
-    done = found.filter("whole").select(*key, *result)
-    open_cuts = found.filter("not whole").withColumn("_sub", F.lit(0))
+    result = [*[f"_key.`{k}` AS `{k}`" for k in keys], "cut", "rank", "n", "total"]
+    done = found.filter("whole").selectExpr(*result, "cum", "value")
+    open_cuts = found.filter("NOT whole")
 
     if cells.tied:
         open_cuts = _cuts_in_ties(rows, open_cuts, cells, bound)
@@ -316,10 +306,8 @@ def cumulative_at(
         {"_in": F.row_number().over(inside), "_in_m": F.sum("_m").over(inside.rowsBetween(*_FIRST_TO_HERE))}
     )
     picked = _small(open_cuts.drop("value").withColumnRenamed("rest", "_in"), bound)
-    at_cut = ranked.join(picked, [*cells.part, "_in"]).select(
-        *key, "cut", "rank", "n", "total", (F.col("cum") + F.col("_in_m")).alias("cum"), F.col("_score").alias("value")
-    )
-    return done.unionByName(at_cut).select(*out_key, *result)
+    at_cut = ranked.join(picked, [*cells.part, "_in"]).selectExpr(*result, "cum + _in_m AS cum", "_score AS value")
+    return done.unionByName(at_cut)
 
 
 def _small(df: DataFrame, bound: int) -> DataFrame:
@@ -341,20 +329,24 @@ def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) ->
         .groupBy(*group, "_sub")
         .agg(F.count("*").alias("s_size"), F.sum("_m").alias("s_sum"))
     )
-    to_here = Window.partitionBy(*group).orderBy("_sub").rowsBetween(*_FIRST_TO_HERE)
-    totals = totals.select(
+    to_here = f"(PARTITION BY {', '.join(group)} ORDER BY _sub ROWS UNBOUNDED PRECEDING)"
+    totals = totals.selectExpr(
         *group,
-        F.col("_sub").alias("s_sub"),
-        (F.sum("s_size").over(to_here) - F.col("s_size")).alias("s_start"),
-        F.sum("s_size").over(to_here).alias("s_end"),
-        (F.sum("s_sum").over(to_here) - F.col("s_sum")).alias("s_cum"),
+        "_sub AS s_sub",
+        "s_sum",
+        "s_size",
+        f"sum(s_size) OVER {to_here} AS s_end",
+        f"sum(s_sum) OVER {to_here} AS s_cum",
     )
-    hit = (F.col("rest") > F.col("s_start")) & (F.col("rest") <= F.col("s_end"))
     moved = (
-        totals.join(_small(tied_cuts, bound), group)
-        .filter(hit)
+        totals.join(_small(tied_cuts.drop("_sub"), bound), group)
+        .filter("rest > s_end - s_size AND rest <= s_end")
         .withColumns(
-            {"_sub": F.col("s_sub"), "cum": F.col("cum") + F.col("s_cum"), "rest": F.col("rest") - F.col("s_start")}
+            {
+                "_sub": F.col("s_sub"),
+                "cum": F.expr("cum + s_cum - s_sum"),
+                "rest": F.expr("rest - s_end + s_size"),
+            }
         )
         .select(*cuts.columns)
     )

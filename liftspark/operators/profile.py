@@ -56,27 +56,22 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[
     Finds the order statistics by selection, without holding a column's values
     in one place. Nulls are left out.
     """
-    probs = [float(p) for p in probs]
-
-    def ranks(n):
-        found = []
-        for p in probs:
-            low = F.floor(F.lit(p) * (n - 1).cast("double")) + 1
-            found += [low, F.least(low + 1, n)]
-        return found
-
+    shares = f"array({', '.join(f'{float(p)!r}D' for p in probs)})"
+    place = "{p} * cast(n - 1 AS DOUBLE)"
+    pair = f"array(floor({place}) + 1, least(floor({place}) + 2, n))".replace("{p}", "p")
     present = df.filter(F.col(value).isNotNull())
-    at = cumulative_at(present, value, None, ranks, keys, descending=False)
-    at = at.withColumns({"q": F.floor(F.col("cut") / 2).cast("int"), "upper": F.col("cut") % 2 == 1})
-    pair = at.groupBy(*keys, "q").agg(
-        F.max(F.when(~F.col("upper"), F.col("value"))).alias("lo"),
-        F.max(F.when(F.col("upper"), F.col("value"))).alias("hi"),
+    at = cumulative_at(
+        present, value, None, f"flatten(transform({shares}, p -> {pair}))", keys, descending=False, max_cuts=2 * len(probs)
+    )
+    both = at.groupBy(*keys, F.expr("cast(cut DIV 2 AS INT) AS q")).agg(
+        F.expr("max(if(cut % 2 = 0, value, NULL)) AS lo"),
+        F.expr("max(if(cut % 2 = 1, value, NULL)) AS hi"),
         F.max("n").alias("n"),
     )
-    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("q") + 1)
-    place = prob * (F.col("n") - 1).cast("double")
-    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (place - F.floor(place))
-    return pair.select(*keys, prob.alias("prob"), between.alias("quantile"))
+    spot = place.replace("{p}", "prob")
+    return both.withColumn("prob", F.expr(f"element_at({shares}, q + 1)")).selectExpr(
+        *[f"`{k}`" for k in keys], "prob", f"lo + (hi - lo) * ({spot} - floor({spot})) AS quantile"
+    )
 
 
 def quantiles_approx(df: DataFrame, value: str, probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:

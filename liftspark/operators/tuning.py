@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from liftspark.operators.sampling import with_fold
+from liftspark.operators.sampling import hash_split, with_fold
 
 RESULT_SCHEMA = "trial int, params string, score double, score_std double"
 
@@ -26,9 +30,30 @@ def _result_table(like: DataFrame, grid: Sequence[dict], scores: Sequence[float]
 
 
 def best_index(scores: Sequence[float], larger_is_better: bool = True) -> int:
-    """Index of the best score; the first of equals."""
+    """Index of the best score; the first of equals. NaN never wins over a number."""
     sign = 1 if larger_is_better else -1
-    return max(range(len(scores)), key=lambda i: (sign * scores[i], -i))
+    worth = [-math.inf if math.isnan(s) else sign * s for s in scores]
+    return worth.index(max(worth))
+
+
+def _scores(
+    train: DataFrame, valid: DataFrame, estimator: Estimator, grid: Sequence[dict], evaluator: Evaluator, parallelism: int
+) -> list[float]:
+    """Fit every map on ``train`` and score it on ``valid``, some at a time.
+
+    Both sides are read once per fit, so they are cached for the duration.
+    """
+    train, valid = train.persist(), valid.persist()
+
+    def score(point: dict) -> float:
+        return evaluator.evaluate(estimator.fit(train, point).transform(valid))
+
+    try:
+        with ThreadPool(min(parallelism, len(grid))) as pool:
+            return pool.map(inheritable_thread_target(train.sparkSession)(score), grid, chunksize=1)
+    finally:
+        train.unpersist()
+        valid.unpersist()
 
 
 def grid_search(
@@ -44,21 +69,21 @@ def grid_search(
     """Cross-validate every parameter map on folds by row id.
 
     Returns one row per map with the mean and deviation over the folds, and the
-    best map. ``parallelism`` bounds the fits that run at the same time.
+    best map. ``parallelism`` bounds the fits that run at the same time. The
+    library's own cross-validator checks given folds row by row in Python, so
+    the folds are plain filters here.
     """
     tagged = with_fold(df, id, folds, hash_fn)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=list(grid),
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=42,
-    )
-    fitted = search.fit(tagged)
-    table = _result_table(df, grid, fitted.avgMetrics, fitted.stdMetrics)
-    return table, grid[best_index(fitted.avgMetrics, evaluator.isLargerBetter())]
+    by_fold = [
+        _scores(
+            tagged.filter(F.col("fold") != fold), tagged.filter(F.col("fold") == fold), estimator, grid, evaluator, parallelism
+        )
+        for fold in range(folds)
+    ]
+    per_map = list(zip(*by_fold))
+    means = [fmean(s) for s in per_map]
+    table = _result_table(df, grid, means, [pstdev(s) for s in per_map])
+    return table, grid[best_index(means, evaluator.isLargerBetter())]
 
 
 def random_search(
@@ -86,17 +111,13 @@ def validation_split(
     estimator: Estimator,
     grid: Sequence[dict],
     evaluator: Evaluator,
+    id: str,
     train_ratio: float = 0.9,
     parallelism: int = 1,
+    hash_fn: str = "murmur3",
 ) -> tuple[DataFrame, Model]:
-    """Tune on one split; returns the scores per map and the best model."""
-    fitted = TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=list(grid),
-        evaluator=evaluator,
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=42,
-    ).fit(df)
-    scores = fitted.validationMetrics
-    return _result_table(df, grid, scores, [0.0] * len(scores)), fitted.bestModel
+    """Tune on one split by row id; returns the scores per map and the best model, fitted on all rows."""
+    train, valid = hash_split(df, id, [train_ratio, 1 - train_ratio], hash_fn)
+    scores = _scores(train, valid, estimator, grid, evaluator, parallelism)
+    best = grid[best_index(scores, evaluator.isLargerBetter())]
+    return _result_table(df, grid, scores, [0.0] * len(scores)), refit(df, estimator, best)

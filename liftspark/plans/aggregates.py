@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from liftspark.functions.columns import round_half_up
 from liftspark.operators import profile as P
 from liftspark.plans.registry import query
-from liftspark.plans.tables import JOBS_SQL, LIFT_INPUT_SQL, jobs, lift_input, r4, table
+from liftspark.plans.tables import JOBS_SQL, LIFT_INPUT_SQL, jobs, lift_input, r4, table, tagged_orders
 
 PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
 BINS = 30
@@ -126,7 +126,7 @@ def histogram30(spark, sf_dir):
     UNION ALL SELECT DISTINCT 'prod_type', prod_type FROM lift_input ORDER BY name, value""",
 )
 def distinct_tags(spark, sf_dir):
-    return P.distinct_tags(lift_input(spark, sf_dir), ["tag", "test_type", "capture_type", "prod_type"])
+    return P.distinct_tags(lift_input(tagged_orders(spark, sf_dir)), ["tag", "test_type", "capture_type", "prod_type"])
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import functions as F
 
-from liftspark.functions.columns import flatten_vector, round_half_up
+from liftspark.functions.columns import flatten_vector, round_half_up, rounded
 from liftspark.operators import features as FE
 from liftspark.plans.registry import query
 from liftspark.plans.tables import JOBS_SQL, TRAIN_END, is_train, jobs, r4, table
@@ -25,10 +25,6 @@ def gold_pipeline(spark, sf_dir):
     return FE.feature_pipeline(train, NOT_FEATURES).fit(train), df
 
 
-def _rounded(df, names, digits=4):
-    return df.withColumns({c: round_half_up(c, digits) for c in names})
-
-
 @query(
     "string_index",
     f"""WITH {JOBS_SQL} SELECT jobid, (dense_rank() OVER (ORDER BY region) - 1)::DOUBLE AS "region_INT",
@@ -76,7 +72,7 @@ def scale_l2(spark, sf_dir):
 
     df = table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector("embedding").alias("v"))
     scaled = FE.scaler("l2", "v", "e").transform(df).select("vec_id", "e")
-    return _rounded(flatten_vector(scaled, "e", SIZE), [f"e{i}" for i in range(SIZE)])
+    return rounded(flatten_vector(scaled, "e", SIZE), [f"e{i}" for i in range(SIZE)])
 
 
 def _scaled_lines(spark, sf_dir, kind):
@@ -84,7 +80,7 @@ def _scaled_lines(spark, sf_dir, kind):
     names = [*ASSEMBLED, "one"]
     vectors = FE.assembler(names).transform(li).select("l_orderkey", "vectorized")
     scaled = FE.scaler(kind).fit(vectors).transform(vectors).select("l_orderkey", "normalized")
-    return _rounded(flatten_vector(scaled, "normalized", len(names), "f"), [f"f{i}" for i in range(len(names))])
+    return rounded(flatten_vector(scaled, "normalized", len(names), "f"), [f"f{i}" for i in range(len(names))])
 
 
 @query(
@@ -124,7 +120,7 @@ def scale_std(spark, sf_dir):
 def gold_features(spark, sf_dir):
     fitted, df = gold_pipeline(spark, sf_dir)
     gold = fitted.transform(df).select("jobid", "final_response", "normalized")
-    return _rounded(flatten_vector(gold, "normalized", 4, "f"), [f"f{i}" for i in range(4)])
+    return rounded(flatten_vector(gold, "normalized", 4, "f"), [f"f{i}" for i in range(4)])
 
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from liftspark.functions.columns import round_half_up
+from liftspark.functions.columns import round_half_up, rounded
 from liftspark.operators import curves, metrics, overfit
 from liftspark.operators import gain as G
 from liftspark.operators.prefix import ordered_prefix
@@ -17,6 +17,7 @@ from liftspark.plans.tables import (
     order_facts,
     r4,
     table,
+    tagged_orders,
     user_types,
 )
 from liftspark.session import checkpointed
@@ -57,8 +58,8 @@ def scored(spark, sf_dir):
 
 def lift_long(spark, sf_dir):
     # the joined rows are read several times, so they are stored first
-    rows = checkpointed(lift_input(spark, sf_dir))
-    return overfit.gain_by_segment(rows, "score", "final_response", "jobid")
+    rows = checkpointed(tagged_orders(spark, sf_dir))
+    return overfit.gain_by_segment(lift_input(rows), "score", "final_response", "jobid")
 
 
 @query(
@@ -151,7 +152,7 @@ delta AS (SELECT train, test1, test2, {r4('(test1 - train) / nullif(train, 0)')}
 
 def _delta(spark, sf_dir):
     found = overfit.overfit_delta(lift_long(spark, sf_dir))
-    return found.withColumns({c: round_half_up(c) for c in ("train_test1", "train_test2")})
+    return rounded(found, ["train_test1", "train_test2"])
 
 
 @query("overfit_delta", f"{DELTA_SQL} SELECT * FROM delta")
@@ -178,7 +179,7 @@ def overfit_flags(spark, sf_dir):
 )
 def metric_change(spark, sf_dir):
     rate = F.sum("final_response").cast("double") / F.count("*")
-    per_set = lift_input(spark, sf_dir).groupBy("tag", "test_type").agg(rate.alias("metric"))
+    per_set = lift_input(tagged_orders(spark, sf_dir)).groupBy("tag", "test_type").agg(rate.alias("metric"))
     changed = overfit.relative_change(wide(per_set, ["tag"], "test_type", "metric", overfit.TEST_TYPES))
     return changed.select("tag", *[round_half_up(c).alias(c) for c in ("train_test1", "train_test2")])
 
@@ -227,8 +228,8 @@ p AS (SELECT t, pos, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER
   FROM c WINDOW w AS (ORDER BY t DESC ROWS UNBOUNDED PRECEDING))"""
 
 
-def _rounded(df, *cols):
-    return df.withColumns({c: round_half_up(c, 6) for c in cols})
+def _rounded(df, *cols, digits=6):
+    return rounded(df, cols, digits)
 
 
 @query(
@@ -313,11 +314,7 @@ def multiclass_metrics(spark, sf_dir):
     FROM order_facts""",
 )
 def log_loss(spark, sf_dir):
-    return _rounded4(metrics.log_loss(scored(spark, sf_dir), "final_response", "score"), "log_loss")
-
-
-def _rounded4(df, *cols):
-    return df.withColumns({c: round_half_up(c) for c in cols})
+    return rounded(metrics.log_loss(scored(spark, sf_dir), "final_response", "score"), ["log_loss"])
 
 
 REGRESSION_SQL = "l_quantity * 2100 + l_discount * 1000 - l_tax * 500"

@@ -113,7 +113,7 @@ def cv_grid(spark, sf_dir):
 def tvs(spark, sf_dir):
     train, _ = gold(spark, sf_dir)
     estimator, grid = _lr_search({"regParam": [0.001, 0.3], "maxIter": [10]})
-    found, _ = tuning.validation_split(train, estimator, grid, models.evaluator())
+    found, _ = tuning.validation_split(train, estimator, grid, models.evaluator(), "jobid")
     return found
 
 

@@ -91,20 +91,25 @@ def is_train():
     return F.col("assignment_start_dt") < F.lit(TRAIN_END).cast("date")
 
 
-def lift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored orders by data set and product: once per region, once as national."""
+def tagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored orders by region, data set and product."""
     o = order_facts(spark, sf_dir)
     test_type = F.when(F.col("h") % 3 == 0, "train").when(F.col("h") % 3 == 1, "test1").otherwise("test2")
-    tagged = with_region(spark, sf_dir, o).select(
+    return with_region(spark, sf_dir, o).select(
         "jobid",
         "final_response",
         "score",
         test_type.alias("test_type"),
         F.when(F.col("h") % 2 == 0, "mob").otherwise("bb").alias("prod_type"),
         F.lit("sales").alias("capture_type"),
-        F.explode(F.array(F.col("region"), F.lit("national"))).alias("tag"),
+        "region",
     )
-    return tagged
+
+
+def lift_input(tagged: DataFrame) -> DataFrame:
+    """Every order once for its region and once as national."""
+    both = F.explode(F.array(F.col("region"), F.lit("national")))
+    return tagged.withColumn("tag", both).drop("region")
 
 
 LIFT_INPUT_SQL = f"""{ORDER_FACTS_SQL}, tagged AS (
