@@ -17,7 +17,6 @@ from liftspark.operators.prefix import (
     assign_cells,
     inside_order,
     ordered_prefix,
-    part_offsets,
     plan_cells,
     prepared,
     with_offsets,
@@ -38,13 +37,12 @@ def threshold_counts(
     if cells.n_empty_keys or not cells.n_rows:
         raise ValueError(f"{cells.n_empty_keys} of {cells.n_keys} groups have no positive label")
     rows = assign_cells(rows, cells)
-    # offsets come from the rows, aggregated map-side, so that the counts per
-    # score are shuffled for one use only
-    offsets = part_offsets(rows, cells, ["_pos", "_neg"])
     counts = rows.groupBy(*cells.part, "_score").agg(F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))
     inside = inside_order(cells, has_id=False)
     ranked = counts.withColumns({"_in_pos": F.sum("pos").over(inside), "_in_neg": F.sum("neg").over(inside)})
-    placed = with_offsets(ranked, offsets, cells)
+    # offsets come from the rows, aggregated map-side, so that the counts per
+    # score are shuffled for one use only
+    placed = with_offsets(ranked, rows, cells, ["_pos", "_neg"])
     out = placed.select(
         *[F.col(f"_key.{k}").alias(k) for k in keys],
         F.col("_score").alias("threshold"),

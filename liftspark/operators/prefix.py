@@ -56,6 +56,11 @@ class Cells:
     def part(self) -> list[str]:
         return [*self.key, "_cell", *(["_sub"] if self.tied else [])]
 
+    @property
+    def single(self) -> bool:
+        """All rows fit one cell, so a plain window per key is a task's work."""
+        return not self.score_splits
+
     @property
     def max_parts(self) -> int:
         cells = len(self.score_splits) + 1
@@ -150,11 +155,14 @@ def assign_cells(rows: DataFrame, cells: Cells) -> DataFrame:
         out = out.withColumn("_cell", F.lit(len(cells.score_splits)) - F.col("_cell"))
     if cells.tied:
         out = _bucket(out.withColumn("_idd", F.col("_id").cast("double")), "_idd", cells.id_splits, "_sub")
-        in_tie = F.col("_cell").isin(list(cells.tied))
-        out = out.withColumn("_sub", F.when(in_tie, F.col("_sub")).otherwise(F.lit(0))).drop("_idd")
+        out = out.withColumn("_sub", F.expr(f"if({_in_tie(cells)}, _sub, 0)")).drop("_idd")
     return out
 
 
+def _in_tie(cells: Cells) -> str:
+    return f"_cell IN ({', '.join(map(str, cells.tied))})"
+
+
 def inside_order(cells: Cells, has_id: bool = True) -> Window:
     """The window over one part, in ranking order."""
     by = F.col("_score").desc() if cells.descending else F.col("_score").asc()
@@ -187,8 +195,11 @@ def part_offsets(rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFram
     )
 
 
-def with_offsets(ranked: DataFrame, offsets: DataFrame, cells: Cells) -> DataFrame:
+def with_offsets(ranked: DataFrame, rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFrame:
     """Join offsets by part: broadcast within the size bound, co-partitioned beyond."""
+    if cells.single:
+        return ranked.withColumns({f"_before_{c}": F.lit(0) for c in ("n", *sums)})
+    offsets = part_offsets(rows, cells, sums)
     if cells.max_parts <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     return ranked.join(offsets, cells.part)
@@ -218,7 +229,7 @@ def ordered_prefix(
             **{f"_in_{c}": F.sum(c).over(inside.rowsBetween(*_FIRST_TO_HERE)) for c in sums},
         }
     )
-    placed = with_offsets(ranked, part_offsets(rows, cells, sums), cells)
+    placed = with_offsets(ranked, rows, cells, sums)
     return placed.select(
         *df.columns,
         (F.col("_before_n") + F.col("_in") - 1).alias(rank_col),
@@ -259,6 +270,20 @@ def cumulative_at(
         raise ValueError(f"{cells.n_empty_keys} of {cells.n_keys} groups have no positive label")
     rows = assign_cells(rows, cells)
     key, bound = cells.key, cells.n_keys * max_cuts
+    by_key = "PARTITION BY _key" if keys else ""
+    ranks = f"transform({cuts}, (r, i) -> struct(i AS cut, cast(r AS BIGINT) AS rank))"
+    result = [*[f"_key.`{k}` AS `{k}`" for k in keys], "cut", "rank", "n", "total"]
+    if cells.single:
+        order = f"({by_key} ORDER BY _score {'DESC' if descending else 'ASC'}{', _id' if id else ''} ROWS UNBOUNDED PRECEDING)"
+        ranked = rows.selectExpr(
+            "*",
+            f"count(*) OVER ({by_key}) AS n",
+            f"sum(_m) OVER ({by_key}) AS total",
+            f"cast(row_number() OVER {order} AS BIGINT) AS _in",
+            f"sum(_m) OVER {order} AS cum",
+        )
+        hits = ranked.selectExpr("*", f"inline(filter({ranks}, c -> c.rank = _in))")
+        return hits.selectExpr(*result, "cum", "_score AS value")
 
     hist = rows.groupBy(*key, "_cell").agg(
         F.count("*").alias("size"),
@@ -267,7 +292,6 @@ def cumulative_at(
         F.max("_score").alias("hi"),
     )
     # windows over the counts per cell, not over rows
-    by_key = "PARTITION BY _key" if keys else ""
     to_here = f"({by_key} ORDER BY _cell ROWS UNBOUNDED PRECEDING)"
     hist = hist.selectExpr(
         "*",
@@ -276,7 +300,6 @@ def cumulative_at(
         f"sum(size) OVER {to_here} AS end",
         f"sum(sum) OVER {to_here} AS cum",
     )
-    ranks = f"transform({cuts}, (r, i) -> struct(i AS cut, cast(r AS BIGINT) AS rank))"
     hits = hist.selectExpr("*", f"inline(filter({ranks}, c -> c.rank > end - size AND c.rank <= end))")
     whole = "rank = end" if measure else "(rank = end OR lo = hi)"
     found = pinned(
@@ -295,7 +318,6 @@ def cumulative_at(
         ),
         bound,
     )
-    result = [*[f"_key.`{k}` AS `{k}`" for k in keys], "cut", "rank", "n", "total"]
     done = found.filter("whole").selectExpr(*result, "cum", "value")
     open_cuts = found.filter("NOT whole")
 
@@ -320,8 +342,7 @@ def _rows_of(rows: DataFrame, cuts: DataFrame, on: list[str], bound: int) -> Dat
 
 def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) -> DataFrame:
     """Move cuts inside tied cells on to the id range they fall into."""
-    in_tie = F.col("_cell").isin(list(cells.tied))
-    tied_cuts, group = cuts.filter(in_tie), [*cells.key, "_cell"]
+    tied_cuts, group = cuts.filter(_in_tie(cells)), [*cells.key, "_cell"]
     if tied_cuts.isEmpty():
         return cuts
     totals = (
@@ -350,4 +371,4 @@ def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) ->
         )
         .select(*cuts.columns)
     )
-    return cuts.filter(~in_tie).unionByName(pinned(moved, bound))
+    return cuts.filter(f"NOT {_in_tie(cells)}").unionByName(pinned(moved, bound))

@@ -9,6 +9,7 @@ from liftspark.functions.columns import flatten_vector, round_half_up, rounded
 from liftspark.operators import features as FE
 from liftspark.plans.registry import query
 from liftspark.plans.tables import JOBS_SQL, TRAIN_END, is_train, jobs, r4, table
+from liftspark.session import checkpointed
 
 SIZE = 64
 NOT_FEATURES = ["jobid", "final_response", "assignment_start_dt", "assignment_start_month"]
@@ -19,8 +20,12 @@ def filled_jobs(spark, sf_dir):
 
 
 def gold_pipeline(spark, sf_dir):
-    """Fit the feature pipeline on the training rows; return it with all rows."""
-    df = filled_jobs(spark, sf_dir)
+    """Fit the feature pipeline on the training rows; return it with all rows.
+
+    Fitting and training read the rows many times over, so the join is stored
+    once, in files of even size.
+    """
+    df = checkpointed(filled_jobs(spark, sf_dir).hint("rebalance"))
     train = df.filter(is_train())
     return FE.feature_pipeline(train, NOT_FEATURES).fit(train), df
 

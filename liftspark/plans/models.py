@@ -11,6 +11,7 @@ from liftspark.functions.columns import last_probability, round_half_up
 from liftspark.operators import curves, models, tuning
 from liftspark.operators.features import TrainingSet
 from liftspark.operators.gain import cumulative_gain
+from liftspark.operators.sampling import hash_split
 from liftspark.plans.features import gold_pipeline
 from liftspark.plans.registry import query
 from liftspark.plans.tables import TRAIN_END, is_train, jobs, table
@@ -76,11 +77,11 @@ def feature_importance(spark, sf_dir):
 @query("fit_auto")
 def fit_auto(spark, sf_dir):
     """Classification and regression from a config, with the metrics of the task."""
-    df = checkpointed(jobs(spark, sf_dir).drop("assignment_start_dt", "assignment_start_month"))
+    df = checkpointed(jobs(spark, sf_dir).drop("assignment_start_dt", "assignment_start_month").hint("rebalance"))
     config = TrainingSet("jobid", "final_response", "classification")
-    bucket = F.pmod(F.hash("jobid"), F.lit(10))
-    model = models.train_auto(df.filter(bucket != 0), config, maxIter=10, maxDepth=3)
-    found = models.evaluate_auto(model.predict(df.filter(bucket == 0)), config)
+    train, test = hash_split(df, "jobid", [0.9, 0.1])
+    model = models.train_auto(train, config, maxIter=10, maxDepth=3)
+    found = models.evaluate_auto(model.predict(test), config)
     return found.select(*[round_half_up(c).alias(c) for c in found.columns])
 
 
@@ -90,9 +91,9 @@ def fit_auto_regression(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn("row_id", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
     df = li.select("row_id", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_extendedprice")
     config = TrainingSet("row_id", "l_extendedprice", "regression", date_field="l_shipdate")
-    bucket = F.pmod(F.hash("row_id"), F.lit(10))
-    model = models.train_auto(df.filter(bucket != 0), config, maxIter=5, maxDepth=4)
-    found = models.evaluate_auto(model.predict(df.filter(bucket == 0)), config)
+    train, test = hash_split(df, "row_id", [0.9, 0.1])
+    model = models.train_auto(train, config, maxIter=5, maxDepth=4)
+    found = models.evaluate_auto(model.predict(test), config)
     return found.select(round_half_up("mse", 2).alias("mse"), round_half_up("r2").alias("r2"))
 
 
