@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from liftspark.session import pinned
 
 ROWS_PER_CELL = 250_000
-MAX_CELLS = 16_384
+FINE_CELLS, MAX_CELLS = 1_024, 16_384
 MIN_SAMPLE, SAMPLE_PER_CELL = 200_000, 20
 MAX_BROADCAST_ROWS = 200_000
 
@@ -108,6 +108,8 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
         raise ValueError(f"{got['bad']} of {n} scores are null or NaN")
 
     k = min(MAX_CELLS, math.ceil(n / ROWS_PER_CELL))
+    if k > 1:  # counts per cell are cheap, and finer cells leave fewer rows to rank
+        k = max(k, min(FINE_CELLS, n // 1_000))
     cols = ["_score", "_id"] if has_id else ["_score"]
     found: list[list[float]] = [[] for _ in cols]
     if k > 1:
