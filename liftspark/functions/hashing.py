@@ -13,7 +13,9 @@ def md5_number(col: Column | str) -> Column:
 
     Any SQL engine with an md5 function can repeat it.
     """
-    text = (F.col(col) if isinstance(col, str) else col).cast("string").cast("binary")
+    if isinstance(col, str):
+        return F.expr(f"cast(conv(substring(md5(cast(cast(`{col}` AS STRING) AS BINARY)), 1, 8), 16, 10) AS BIGINT)")
+    text = col.cast("string").cast("binary")
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 

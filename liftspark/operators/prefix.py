@@ -58,7 +58,7 @@ class Cells:
 
     @property
     def single(self) -> bool:
-        """All rows fit one cell, so a plain window per key is a task's work."""
+        """No key has more rows than one cell, so a plain window per key will do."""
         return not self.score_splits
 
     @property
@@ -101,14 +101,20 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
         (F.sum(measure) if measure else F.count("*")).alias("m"),
     )
     got = counts.selectExpr(
-        "sum(n) AS n", "sum(bad) AS bad", "count_if(n > 0) AS keys", "count_if(n > 0 AND coalesce(m, 0) = 0) AS empty"
+        "sum(n) AS n",
+        "max(n) AS largest",
+        "sum(bad) AS bad",
+        "count_if(n > 0) AS keys",
+        "count_if(n > 0 AND coalesce(m, 0) = 0) AS empty",
     ).first()
     n, n_keys = got["n"] or 0, max(got["keys"], 1)
     if got["bad"]:
         raise ValueError(f"{got['bad']} of {n} scores are null or NaN")
 
     k = min(MAX_CELLS, math.ceil(n / ROWS_PER_CELL))
-    if k > 1:  # counts per cell are cheap, and finer cells leave fewer rows to rank
+    if (got["largest"] or 0) <= ROWS_PER_CELL:
+        k = 1  # every key fits one task
+    else:  # counts per cell are cheap, and finer cells leave fewer rows to rank
         k = max(k, min(FINE_CELLS, n // 1_000))
     cols = ["_score", "_id"] if has_id else ["_score"]
     found: list[list[float]] = [[] for _ in cols]
@@ -276,15 +282,22 @@ def cumulative_at(
     ranks = f"transform({cuts}, (r, i) -> struct(i AS cut, cast(r AS BIGINT) AS rank))"
     result = [*[f"_key.`{k}` AS `{k}`" for k in keys], "cut", "rank", "n", "total"]
     if cells.single:
-        order = f"({by_key} ORDER BY _score {'DESC' if descending else 'ASC'}{', _id' if id else ''} ROWS UNBOUNDED PRECEDING)"
+        order = f"{by_key} ORDER BY _score {'DESC' if descending else 'ASC'}{', _id' if id else ''}"
         ranked = rows.selectExpr(
             "*",
-            f"count(*) OVER ({by_key}) AS n",
-            f"sum(_m) OVER ({by_key}) AS total",
-            f"cast(row_number() OVER {order} AS BIGINT) AS _in",
-            f"sum(_m) OVER {order} AS cum",
+            f"cast(row_number() OVER ({order}) AS BIGINT) AS _in",
+            f"sum(_m) OVER ({order} ROWS UNBOUNDED PRECEDING) AS cum",
         )
-        hits = ranked.selectExpr("*", f"inline(filter({ranks}, c -> c.rank = _in))")
+        totals = rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("_m").alias("total"))
+        totals = totals.selectExpr("*", f"{ranks} AS _ranks")
+        if keys:
+            # the window has the rows of a key together already
+            ranked = ranked.join(_small(totals, cells.n_keys), key)
+        elif row := totals.first():
+            at = ", ".join(f"struct({r['cut']} AS cut, {r['rank']}L AS rank)" for r in row["_ranks"])
+            ranked = ranked.selectExpr("*", f"{row['n']}L AS n", f"{row['total'] or 0}L AS total", f"array({at}) AS _ranks")
+        wanted = ranked.filter("array_contains(_ranks.rank, _in)")
+        hits = wanted.selectExpr("*", "inline(filter(_ranks, c -> c.rank = _in))")
         return hits.selectExpr(*result, "cum", "_score AS value")
 
     hist = rows.groupBy(*key, "_cell").agg(

@@ -20,20 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: hash, label and scores, all from the order itself."""
     o = table(spark, sf_dir, "orders").withColumn("h", md5_number("o_orderkey"))
-    score = F.greatest(F.least(F.col("o_totalprice") / 500000, F.lit(0.9999)), F.lit(0.0001))
-    signal = F.floor(F.col("o_totalprice") / 5000) + F.col("h") % 100
-    return o.select(
-        F.col("o_orderkey").alias("jobid"),
+    return o.selectExpr(
+        "o_orderkey AS jobid",
         "o_custkey",
         "o_totalprice",
         "o_orderdate",
         "o_orderpriority",
         "h",
-        F.when(signal >= 140, 1).otherwise(0).alias("final_response"),
-        score.alias("score"),
-        (F.floor(score * 20) / 20).alias("score_tied"),
-        (score > 0.5).cast("int").alias("predict_int"),
-    )
+        "int(floor(o_totalprice / 5000) + h % 100 >= 140) AS final_response",
+        "greatest(least(o_totalprice / 500000, 0.9999D), 0.0001D) AS score",
+    ).selectExpr("*", "floor(score * 20) / 20 AS score_tied", "int(score > 0.5D) AS predict_int")
 
 
 H_SQL = "(('0x' || substr(md5(cast(o_orderkey as varchar)), 1, 8))::BIGINT)"
@@ -60,15 +56,14 @@ def with_region(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, with nulls in the price and the name."""
-    o = with_region(spark, sf_dir, order_facts(spark, sf_dir))
-    return o.select(
+    return with_region(spark, sf_dir, order_facts(spark, sf_dir)).selectExpr(
         "jobid",
         "region",
-        F.col("o_orderdate").cast("date").alias("assignment_start_dt"),
-        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("assignment_start_month"),
-        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("competitor_name"),
-        F.when(F.col("h") % 17 != 0, F.col("o_totalprice")).alias("competitor_price"),
-        F.when(F.col("h") % 3 == 0, "No").when(F.col("h") % 3 == 1, "Unknown").otherwise("Yes").alias("dtv_flag"),
+        "date(o_orderdate) AS assignment_start_dt",
+        "trunc(date(o_orderdate), 'month') AS assignment_start_month",
+        "nullif(c_mktsegment, 'MACHINERY') AS competitor_name",
+        "if(h % 17 <> 0, o_totalprice, NULL) AS competitor_price",
+        "element_at(array('No', 'Unknown', 'Yes'), int(h % 3 + 1)) AS dtv_flag",
         "final_response",
     )
 
@@ -88,20 +83,18 @@ JOBS_SQL = f"""jobs AS (
 
 
 def is_train():
-    return F.col("assignment_start_dt") < F.lit(TRAIN_END).cast("date")
+    return F.expr(f"assignment_start_dt < DATE '{TRAIN_END}'")
 
 
 def tagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored orders by region, data set and product."""
-    o = order_facts(spark, sf_dir)
-    test_type = F.when(F.col("h") % 3 == 0, "train").when(F.col("h") % 3 == 1, "test1").otherwise("test2")
-    return with_region(spark, sf_dir, o).select(
+    return with_region(spark, sf_dir, order_facts(spark, sf_dir)).selectExpr(
         "jobid",
         "final_response",
         "score",
-        test_type.alias("test_type"),
-        F.when(F.col("h") % 2 == 0, "mob").otherwise("bb").alias("prod_type"),
-        F.lit("sales").alias("capture_type"),
+        "element_at(array('train', 'test1', 'test2'), int(h % 3 + 1)) AS test_type",
+        "if(h % 2 = 0, 'mob', 'bb') AS prod_type",
+        "'sales' AS capture_type",
         "region",
     )
 
@@ -174,7 +167,7 @@ def run_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "run_id",
         F.when(k % 4 == 0, F.concat(F.lit("grid-"), k)).alias("run_name"),
         failed.alias("status"),
-        F.timestamp_seconds(F.lit(1640995200) + k * 61).alias("start_time"),
+        F.expr("timestampadd(SECOND, int(c_custkey * 61), TIMESTAMP_NTZ'2022-01-01 00:00:00')").alias("start_time"),
     )
     balance = F.col("c_acctbal")
     model = F.element_at(
