@@ -31,6 +31,7 @@ FINE_CELLS, MAX_CELLS = 1_024, 16_384
 MIN_SAMPLE, SAMPLE_PER_CELL = 200_000, 20
 MAX_BROADCAST_ROWS = 200_000
 
+_RESULT_NAMES = {"cut", "rank", "n", "total", "cum", "value"}
 _FIRST_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _ALL_BEFORE = (Window.unboundedPreceding, -1)
 
@@ -47,6 +48,8 @@ class Cells:
     id_splits: tuple[float, ...]
     descending: bool
     keyed: bool
+    single: bool
+    """No key has more rows than one cell may, so a plain window per key will do."""
 
     @property
     def key(self) -> list[str]:
@@ -56,14 +59,9 @@ class Cells:
     def part(self) -> list[str]:
         return [*self.key, "_cell", *(["_sub"] if self.tied else [])]
 
-    @property
-    def single(self) -> bool:
-        """No key has more rows than one cell, so a plain window per key will do."""
-        return not self.score_splits
-
     @property
     def max_parts(self) -> int:
-        cells = len(self.score_splits) + 1
+        cells = len(self.score_splits) + 3
         return min(self.n_rows, self.n_keys * (cells + len(self.tied) * (len(self.id_splits) + 1)))
 
 
@@ -125,16 +123,19 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
 
     splits: set[float] = set()
     heavy: list[float] = []
-    for value, run in groupby(v for v in found[0] if math.isfinite(v)):
-        splits.add(value)
-        if len(list(run)) > 1:
-            splits.add(math.nextafter(value, math.inf))
+    for value, run in groupby(found[0]):
+        after = math.nextafter(value, math.inf)
+        if math.isfinite(value):
+            splits.add(value)
+        if len(list(run)) > 1 and (math.isinf(value) or math.isfinite(after)):
+            splits.update(v for v in (after,) if math.isfinite(value))
             heavy.append(value)
     ordered = sorted(splits)
-    position = {v: i + 1 for i, v in enumerate(ordered)}
+    # cells from below: one for -inf, the ranges between split points, one for inf
+    position = {v: i + 2 for i, v in enumerate(ordered)} | {-math.inf: 0, math.inf: len(ordered) + 2}
     tied = [position[v] for v in heavy] if has_id else []
     if descending:
-        tied = [len(ordered) - i for i in tied]
+        tied = [len(ordered) + 2 - i for i in tied]
     return Cells(
         n_rows=n,
         n_keys=n_keys,
@@ -144,6 +145,7 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
         id_splits=tuple(sorted(set(found[1]))) if has_id else (),
         descending=descending,
         keyed=keyed,
+        single=k <= 1,
     )
 
 
@@ -158,9 +160,12 @@ def _bucket(rows: DataFrame, col: str, splits: Sequence[float], out: str) -> Dat
 
 def assign_cells(rows: DataFrame, cells: Cells) -> DataFrame:
     """Add ``_cell`` (0 comes first) and, where scores are tied, ``_sub``."""
+    if cells.single:
+        return rows.withColumn("_cell", F.lit(0))
+    last = len(cells.score_splits) + 2
+    place = f"CASE WHEN _score = double('-inf') THEN 0 WHEN _score = double('inf') THEN {last} ELSE _cell + 1 END"
     out = _bucket(rows, "_score", cells.score_splits, "_cell")
-    if cells.descending:
-        out = out.withColumn("_cell", F.lit(len(cells.score_splits)) - F.col("_cell"))
+    out = out.withColumn("_cell", F.expr(f"{last} - {place}" if cells.descending else place))
     if cells.tied:
         out = _bucket(out.withColumn("_idd", F.col("_id").cast("double")), "_idd", cells.id_splits, "_sub")
         out = out.withColumn("_sub", F.expr(f"if({_in_tie(cells)}, _sub, 0)")).drop("_idd")
@@ -269,6 +274,8 @@ def cumulative_at(
     """
     if measure and id is None:
         raise ValueError("running totals need an id to order equal scores")
+    if taken := sorted(_RESULT_NAMES & set(keys)):
+        raise ValueError(f"rename the key columns {taken}; the result has columns of these names")
     slim = df.select(*dict.fromkeys(c for c in (*keys, score, id, measure) if c))
     slim = slim.withColumn("_m", F.expr(f"coalesce(cast(`{measure}` AS BIGINT), 0L)" if measure else "0L"))
     rows = prepared(slim, score, id, keys, descending, nulls)

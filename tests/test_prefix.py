@@ -68,6 +68,36 @@ def test_special_values(spark, small_cells):
     assert {r["id"]: r["row_num"] for r in got} == {i: r for i, (r, _) in expected(rows).items()}
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_many_extreme_values(spark, small_cells, descending):
+    """Infinities and the largest numbers, each on many rows, keep apart and split by id."""
+    top = 1.7976931348623157e308
+    levels = [float("-inf"), -top, 0.0, top, float("inf")]
+    rows = [(i, levels[i * 7 % 5], i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sign = 1 if descending else -1
+    want = {i: r for i, (r, _) in expected([(i, sign * s, y) for i, s, y in rows]).items()}
+    got = ordered_prefix(df, "score", "id", descending=descending).collect()
+    assert {r["id"]: r["row_num"] for r in got} == want
+    cells = plan_cells(prepared(df, "score", "id", [], descending), descending)
+    assert len(cells.tied) == 4  # all but the largest number
+
+
+def test_missing_scores_last_and_split(spark, small_cells):
+    rows = [(i, None if i % 3 else i / 100, 0) for i in range(150)]
+    got = ordered_prefix(spark.createDataFrame(rows, SCHEMA), "score", "id", nulls="last").collect()
+    want = expected([(i, float("-inf") if s is None else s, y) for i, s, y in rows])
+    assert {r["id"]: r["row_num"] for r in got} == {i: r for i, (r, _) in want.items()}
+
+
+def test_key_names(spark):
+    from liftspark.operators.gain import gain_table
+
+    df = spark.createDataFrame([(1, 0.5, 1)], "id int, score double, n int")
+    with pytest.raises(ValueError, match="rename the key"):
+        gain_table(df, label="n", id="id", keys=["n"])
+
+
 def test_missing_scores(spark):
     df = spark.createDataFrame([(1, None, 0), (2, float("nan"), 1), (3, -5.0, 1)], SCHEMA)
     with pytest.raises(ValueError, match="2 of 3 scores"):
