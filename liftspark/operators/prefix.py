@@ -211,7 +211,7 @@ def part_offsets(rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFram
 def with_offsets(ranked: DataFrame, rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFrame:
     """Join offsets by part: broadcast within the size bound, co-partitioned beyond."""
     if cells.single:
-        return ranked.withColumns({f"_before_{c}": F.lit(0) for c in ("n", *sums)})
+        return ranked.withColumns({f"_before_{c}": F.lit(0).cast("bigint") for c in ("n", *sums)})
     offsets = part_offsets(rows, cells, sums)
     if cells.max_parts <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)

@@ -115,7 +115,7 @@ def range_count(spark, sf_dir):
     keys = table(spark, sf_dir, "orders").select("o_orderkey").distinct()
     n = readers.count_range(spark, keys.agg(F.max("o_orderkey") + 1).first()[0])
     used = spark.range(n).join(keys, F.col("id") == F.col("o_orderkey"), "left_semi")
-    return used.agg(F.lit(n).alias("n_generated"), F.count("*").alias("n_used"))
+    return used.agg(F.lit(n).cast("bigint").alias("n_generated"), F.count("*").alias("n_used"))
 
 
 @query(

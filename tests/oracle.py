@@ -40,6 +40,17 @@ def _rows(names: list[str], rows) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((v is None, str(type(v)), str(v)) for v in r))
 
 
+# the types that the two engines name differently
+DUCKDB_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(spark, con, fn, sql: str | None, sf_dir: str) -> tuple[str, int]:
     """A verdict, empty if all is well, and the number of rows."""
     df = fn(spark, sf_dir)
@@ -50,8 +61,10 @@ def compare(spark, con, fn, sql: str | None, sf_dir: str) -> tuple[str, int]:
     cursor = con.execute(sql)
     want_names = [d[0] for d in cursor.description]
     want = cursor.fetchall()
-    if sorted(names) != sorted(want_names):
-        return f"columns {sorted(names)} against {sorted(want_names)}", len(got)
+    types = {c: DUCKDB_TYPES.get(t, t) for c, t in df.dtypes}
+    want_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != want_types:
+        return f"columns {sorted(types.items())} against {sorted(want_types.items())}", len(got)
     a, b = _rows(names, got), _rows(want_names, want)
     if len(a) != len(b):
         return f"{len(a)} rows against {len(b)}", len(got)

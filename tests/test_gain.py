@@ -102,3 +102,20 @@ def test_evaluator(spark, small_cells, tmp_path):
     assert GainEvaluator.load(str(tmp_path / "evaluator")).evaluate(df) == model.gains(rows)[10][9]
     one = cumulative_gain(df.withColumnRenamed("number", "score"), label="label", id="id").first()
     assert one["cg2d"] == want
+
+
+def test_in_the_library_cross_validator(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = [(i, Vectors.dense(s, -s * s), y) for i, s, y in sample(300, 100, rate=0.4)]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    estimator = LogisticRegression(maxIter=3)
+    evaluator = GainEvaluator(rawPredictionCol="probability", labelCol="label", idCol="id")
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.0, 0.5]).build()
+    fitted = CrossValidator(
+        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=2, parallelism=2, seed=1
+    ).fit(df)
+    assert len(fitted.avgMetrics) == 2 and all(0 <= m <= 1 for m in fitted.avgMetrics)
+    predicted = fitted.transform(df)
+    assert evaluator.evaluate(predicted, {evaluator.depth: 1.0}) == 1.0

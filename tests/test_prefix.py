@@ -44,6 +44,22 @@ def test_result_does_not_depend_on_partitions(spark, small_cells):
     assert a == b
 
 
+def test_result_does_not_depend_on_settings(spark, small_cells):
+    df = spark.createDataFrame(sample(300, 15, hot=0.3), SCHEMA)
+    kept, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions, adaptive in (("1", "true"), ("13", "false")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            found = ordered_prefix(df, "score", "id", sums=["y"])
+            assert dict(found.dtypes)["row_num"] == "bigint"
+            seen.append(sorted(tuple(r) for r in found.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert seen[0] == seen[1]
+
+
 def test_keys_with_null_and_a_hot_key(spark, small_cells):
     rows = [(*r, None if r[0] % 5 == 0 else "big" if r[0] % 5 < 4 else f"k{r[0] % 7}") for r in sample(400, 30)]
     df = spark.createDataFrame(rows, SCHEMA + ", k string")
