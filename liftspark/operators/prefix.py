@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from liftspark.session import pinned
 
-ROWS_PER_CELL = 250_000
+ROWS_PER_CELL = 1_000_000
 FINE_CELLS, MAX_CELLS = 1_024, 16_384
 MIN_SAMPLE, SAMPLE_PER_CELL = 200_000, 20
 MAX_BROADCAST_ROWS = 200_000
