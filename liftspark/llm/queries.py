@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from liftspark.llm import mixture
 from liftspark.llm.quality import quality_verdicts
+from liftspark.llm.shards import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op7_mix_sources"] = mixture.SQL
+
+
+@query
+def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
