@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from liftspark.llm import mixture
+from liftspark.llm.bfd import pack_documents
+from liftspark.llm.drr import pack_mixture
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
 
@@ -23,6 +26,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -39,3 +47,9 @@ ORACLES["op7_mix_sources"] = mixture.SQL
 @query
 def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_mixture(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "source")
