@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from liftspark.llm import mixture
 from liftspark.llm.bfd import pack_documents
 from liftspark.llm.drr import pack_mixture
+from liftspark.llm.nearjoin import near_duplicates
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
 
@@ -53,3 +54,8 @@ def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_mixture(table(spark, sf_dir, "documents"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "source")
+
+
+@query
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
