@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from liftspark.llm import mixture
 from liftspark.llm.bfd import pack_documents
+from liftspark.llm.chains import repeated_passages
 from liftspark.llm.drr import pack_mixture
 from liftspark.llm.nearjoin import near_duplicates
 from liftspark.llm.quality import quality_verdicts
@@ -59,3 +60,8 @@ def op10_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
