@@ -12,6 +12,7 @@ from liftspark.llm.bfd import pack_documents
 from liftspark.llm.chains import repeated_passages
 from liftspark.llm.drr import pack_mixture
 from liftspark.llm.nearjoin import near_duplicates
+from liftspark.llm.onebit import index, neighbours
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
 
@@ -65,3 +66,8 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(index(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0)
