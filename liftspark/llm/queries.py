@@ -15,6 +15,7 @@ from liftspark.llm.nearjoin import near_duplicates
 from liftspark.llm.onebit import index, neighbours
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
+from liftspark.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +72,8 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(index(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
