@@ -16,6 +16,7 @@ from liftspark.llm.onebit import index, neighbours
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
 from liftspark.llm.toxicity import toxicity
+from liftspark.llm.trielm import score_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,8 @@ def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
