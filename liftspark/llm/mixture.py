@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftspark.llm.common import stored
+from liftspark.llm.common import checked_broadcast, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a range; a running sum is taken within one.
@@ -51,29 +51,17 @@ def source_targets(sources: DataFrame, weights: Sequence[float] = (3, 1, 2), sha
     )
 
 
-def mix_sources(
-    documents: DataFrame,
-    weights: Sequence[float] = (3, 1, 2),
-    share: float = 1.5,
-    most: float = 2.0,
-    id: str = "doc_id",
-    source: str = "source",
-    text: str = "text",
-    seed: str = "",
-    rows_per_range: int = ROWS_PER_RANGE,
-) -> DataFrame:
-    """``doc_id, source, size, source_size, target, epochs, taken`` for each row of ``documents``.
+def hash_key(id: str, seed: str = "") -> Column:
+    """A uniform random key of ``KEY_BITS`` bits that is a function of the id."""
+    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
 
-    ``size`` counts words; a null text has none. ``taken`` words come from the document: ``epochs`` whole
-    copies and, up to the source's budget, more in the order of the hash key (the document on the cut gives
-    part of its words). A null source is a source of its own. Rows with equal keys go by id, then size, so
-    equal rows are interchangeable and reruns agree. Only the three named columns are read; an empty table
-    gives an empty result.
-    """
-    key = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, KEY_BITS // 4), 16, 10)
+
+def _placed(documents: DataFrame, weights, share: float, most: float, id: str, source: str, text: str, seed: str, rows_per_range: int) -> DataFrame:
+    """``doc_id, source, size, key, source_size, target, epochs, part``: ``part`` words are taken besides whole epochs."""
     rows = stored(
         documents.select(
-            F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), key.cast("long").alias("key")
+            F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), hash_key(id, seed).alias("key")
         ),
         "mixture",
     )
@@ -97,13 +85,64 @@ def mix_sources(
     inside = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.floor(F.col("target") - F.col("epochs") * F.col("source_size")) - F.col("start") - F.coalesce(F.sum("size").over(inside), F.lit(0))
     return placed.join(cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")), "left").select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        "epochs",
-        (F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least("size", left))).cast("long").alias("taken"),
+        "doc_id", "source", "size", "key", "source_size", "target", "epochs", F.greatest(F.lit(0), F.least("size", left)).cast("long").alias("part")
+    )
+
+
+def mix_sources(
+    documents: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    seed: str = "",
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, epochs, taken`` for each row of ``documents``.
+
+    ``size`` counts words; a null text has none. ``taken`` words come from the document: ``epochs`` whole
+    copies and, up to the source's budget, more in the order of the hash key (the document on the cut gives
+    part of its words). A null source is a source of its own. Rows with equal keys go by id, then size, so
+    equal rows are interchangeable and reruns agree. Only the three named columns are read; an empty table
+    gives an empty result.
+    """
+    placed = _placed(documents, weights, share, most, id, source, text, seed, rows_per_range)
+    taken = (F.col("epochs") * F.col("size") + F.col("part")).alias("taken")
+    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", taken)
+
+
+def mixed_documents(
+    documents: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    seed: str = "",
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """The mix of ``mix_sources`` itself: the rows of ``documents``, each as often as it is taken.
+
+    The document on a source's cut gives its first words. What is taken follows from one row per source, the first that is
+    not taken whole, so texts meet that small table and are not shuffled. Equal rows on a cut are cut alike.
+    """
+    placed = _placed(documents, weights, share, most, id, source, text, seed, rows_per_range)
+    not_whole = F.when(F.col("part") < F.col("size"), F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "size", "part"))
+    cuts = placed.groupBy(F.col("source").alias("_s")).agg(F.max("epochs").alias("_epochs"), F.min(not_whole).alias("_cut"))
+    place = F.struct(hash_key(id, seed).alias("key"), F.coalesce(F.col(id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("_size").alias("size"))
+    cut = F.struct("_cut.key", "_cut.doc_id", "_cut.size")
+    extra = F.when(F.col("_cut").isNull() | (F.col("_place") < cut), F.col("_size")).when(F.col("_place") == cut, F.col("_cut.part")).otherwise(0)
+    copies = F.concat(F.array_repeat("_size", F.col("_epochs").cast("int")), F.array(extra.cast("long")))
+    return (
+        documents.withColumn("_size", word_count(text))
+        .join(checked_broadcast(stored(cuts, "cuts"), 10_000), F.col(source).eqNullSafe(F.col("_s")))
+        .withColumn("_place", place)
+        .withColumn("_words", F.explode(F.filter(copies, lambda n: n > 0)))
+        .withColumn(text, F.when(F.col("_words") < F.col("_size"), first_words(text, F.col("_words"))).otherwise(F.col(text)))
+        .select(*documents.columns)
     )
 
 

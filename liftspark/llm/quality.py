@@ -83,6 +83,12 @@ def base_measures(texts: Texts) -> list[np.ndarray]:
     return [np.diff(first), chars, inside(np.flatnonzero(marks[texts.data])), dup, np.bincount(doc[covered], minlength=n)]
 
 
+def mean_ratio(texts: Texts, ratio: np.ndarray) -> np.ndarray:
+    """The mean log ratio of each text's n-grams, 0 for a text without words."""
+    bucket, doc = features(texts)
+    return np.bincount(doc, ratio[bucket], texts.n) / np.maximum(np.bincount(doc, minlength=texts.n), 1)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in chunks(batches):
@@ -122,10 +128,7 @@ def score(documents: DataFrame, ratio: np.ndarray, id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             texts = Texts(batch.column("text"))
-            bucket, doc = features(texts)
-            n = np.bincount(doc, minlength=texts.n)
-            llr = np.bincount(doc, ratio[bucket], texts.n) / np.maximum(n, 1)
-            arrays = [batch.column("id"), *(pa.array(x.astype(np.int64)) for x in base_measures(texts)), pa.array(llr)]
+            arrays = [batch.column("id"), *(pa.array(x.astype(np.int64)) for x in base_measures(texts)), pa.array(mean_ratio(texts, ratio))]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", *(c.split()[0] for c in BASE.split(", ")), "llr"])
 
     rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -161,6 +164,26 @@ def threshold(scored: DataFrame, labelled: DataFrame, id: str = "doc_id") -> flo
     return at
 
 
+def quality_filter(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
+    """The rows of ``documents`` that ``quality_verdicts`` keeps, with all their columns.
+
+    The last pass judges rows where they lie, so nothing is joined, and rows of a null or repeated id are judged one by one.
+    """
+    marks = labels.select(id, (F.col(quality) == 1).alias("good"))
+    ratio = fit(documents, marks.filter("good"), id, text)
+    known = documents.select(id, text).join(checked_broadcast(marks.na.drop().select(id).distinct()), id, "left_semi")
+    at = threshold(stored(score(known, ratio, id, text), "quality-labelled"), marks, id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            texts = Texts(batch.column(text))
+            words, _, _, _, repeated = base_measures(texts)
+            kept = (words >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PERCENT * words) & (mean_ratio(texts, ratio) >= at)
+            yield batch.filter(pa.array(kept))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def quality_verdicts(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
     """One row for each row of ``documents``: ``id``, base measures, ``base_failed``, ``llr``, ``threshold``, ``kept``.
 
