@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     ends = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    current = ends.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    # stored first, as a round reads its links several times
+    current = stored(ends.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), "links").distinct()
     mark = None
     while True:
         current = stored(_small_star(_large_star(current).distinct()).distinct(), "links")
