@@ -25,8 +25,8 @@ from liftspark.llm.words import BYTE, Texts, mix, shingles
 
 WORDS = 5
 THRESHOLD = "0.8"
-VALUES, TREES, DEPTH = 128, 64, 8
-TARGET_RECALL = 0.999
+VALUES, TREES, DEPTH = 128, 112, 8
+TARGET_RECALL = 0.9999
 #: Nodes and shingles of a block, on average.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
 
