@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftspark.llm.common import checked_broadcast, stored
+from liftspark.llm.common import checked_broadcast, stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a range; a running sum is taken within one.
@@ -130,18 +130,22 @@ def mixed_documents(
     not taken whole, so texts meet that small table and are not shuffled. Equal rows on a cut are cut alike.
     """
     placed = _placed(documents, weights, share, most, id, source, text, seed, rows_per_range)
-    not_whole = F.when(F.col("part") < F.col("size"), F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "size", "part"))
-    cuts = placed.groupBy(F.col("source").alias("_s")).agg(F.max("epochs").alias("_epochs"), F.min(not_whole).alias("_cut"))
-    place = F.struct(hash_key(id, seed).alias("key"), F.coalesce(F.col(id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("_size").alias("size"))
-    cut = F.struct("_cut.key", "_cut.doc_id", "_cut.size")
-    extra = F.when(F.col("_cut").isNull() | (F.col("_place") < cut), F.col("_size")).when(F.col("_place") == cut, F.col("_cut.part")).otherwise(0)
-    copies = F.concat(F.array_repeat("_size", F.col("_epochs").cast("int")), F.array(extra.cast("long")))
+    whole, epochs, at, part, s, words = unused(documents, "whole", "epochs", "at", "part", "of_source", "words")
+    no_id = F.lit(-(1 << 63))
+    not_whole = F.when(F.col("part") < F.col("size"), F.struct(F.struct("key", F.coalesce("doc_id", no_id), "size").alias("at"), "part"))
+    cuts = (
+        placed.groupBy(F.col("source").alias(s)).agg(F.max("epochs").alias(epochs), F.min(not_whole).alias("cut"))
+        .select(s, epochs, F.col("cut.at").alias(at), F.col("cut.part").alias(part))
+    )
+    size = F.col(whole)
+    place = F.struct(hash_key(id, seed), F.coalesce(F.col(id).cast("long"), no_id), size)
+    extra = F.when(F.col(at).isNull() | (place < F.col(at)), size).when(place == F.col(at), F.col(part)).otherwise(0)
+    copies = F.concat(F.array_repeat(size, F.col(epochs).cast("int")), F.array(extra.cast("long")))
     return (
-        documents.withColumn("_size", word_count(text))
-        .join(checked_broadcast(stored(cuts, "cuts"), 10_000), F.col(source).eqNullSafe(F.col("_s")))
-        .withColumn("_place", place)
-        .withColumn("_words", F.explode(F.filter(copies, lambda n: n > 0)))
-        .withColumn(text, F.when(F.col("_words") < F.col("_size"), first_words(text, F.col("_words"))).otherwise(F.col(text)))
+        documents.withColumn(whole, word_count(text))
+        .join(checked_broadcast(stored(cuts, "cuts"), 10_000), F.col(source).eqNullSafe(F.col(s)))
+        .withColumn(words, F.explode(F.filter(copies, lambda n: n > 0)))
+        .withColumn(text, F.when(F.col(words) < size, first_words(text, F.col(words))).otherwise(F.col(text)))
         .select(*documents.columns)
     )
 
