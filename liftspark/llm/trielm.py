@@ -29,7 +29,7 @@ from liftspark.llm.words import BYTE_LOWER, Texts, mix, owners
 
 U64 = np.uint64
 #: Bytes of text whose words are sent out together, and whose pairs or words a shard holds on average.
-BATCH_BYTES, PAIR_SHARD_BYTES, WORD_SHARD_BYTES = 8_000_000, 16_000_000, 64_000_000
+BATCH_BYTES, PAIR_SHARD_BYTES, WORD_SHARD_BYTES = 6_000_000, 12_000_000, 48_000_000
 #: Bits of a context and of a successor in a pair's key; bits of a word's key.
 HALF, WORD_BITS = 28, 56
 #: Steps of the quantised log10 of a count, per unit.
@@ -166,10 +166,39 @@ def pa_bytes(part: pa.RecordBatch, n_tokens: np.ndarray, train: np.ndarray) -> b
     ])
 
 
-def _sparse(doc: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Rows of a batch that have something, as columns."""
-    some = np.flatnonzero(np.any([c != 0 for c in columns], axis=0))
-    return joined([some.astype(np.int32).tobytes(), *(c[some].astype(np.float64).tobytes() for c in columns)])
+#: What shards return for a document: quantised log counts of its pairs, pairs not seen in training, log10(c + 0.1) of its words,
+#: words known, log10 of the counts of contexts of seen pairs, log10 of backed-off words' counts, backed-off words that are known.
+CODES, UNSEEN, BASE, KNOWN, CONTEXT, BACKED, BACKED_KNOWN = range(7)
+COLUMNS = 7
+
+
+def _sums(columns: dict[int, np.ndarray]) -> bytes:
+    """For each column the documents that have something, and what: whole numbers in 4 bytes, others in 8."""
+    parts = [bytes(columns)]
+    for values in columns.values():
+        some = np.flatnonzero(values)
+        whole = np.issubdtype(values.dtype, np.integer)
+        parts += [bytes([whole]), some.astype(np.uint16).tobytes(), values[some].astype(np.int32 if whole else np.float64).tobytes()]
+    return joined(parts)
+
+
+def _add_sums(data: bytes, to: np.ndarray) -> None:
+    names, *parts = parted(data)
+    for i, name in enumerate(bytes(names)):
+        whole, doc, values = parts[3 * i : 3 * i + 3]
+        to[name, np.frombuffer(doc, np.uint16)] += np.frombuffer(values, np.int32 if bytes(whole) == b"\1" else np.float64)
+
+
+def _pack_counts(counts: np.ndarray) -> list[bytes]:
+    """Mostly small numbers in a byte each; the places of others and their values."""
+    large = np.flatnonzero(counts > 255)
+    return [np.minimum(counts, 255).astype(np.uint8).tobytes(), large.astype(np.int64).tobytes(), counts[large].astype(np.int64).tobytes()]
+
+
+def _unpack_counts(small: memoryview, large: memoryview, values: memoryview) -> np.ndarray:
+    out = np.frombuffer(small, np.uint8).astype(np.int64)
+    out[np.frombuffer(large, np.int64)] = np.frombuffer(values, np.int64)
+    return out
 
 
 def _seven(data: memoryview) -> np.ndarray:
@@ -179,32 +208,26 @@ def _seven(data: memoryview) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-# columns of what shards return for a document: quantised log counts of pairs, pairs seen, pairs not seen,
-# log10(c + 0.1) of words, words known, log10 of contexts' counts, of backed-off words' counts, backed-off words that are known
-COLUMNS = 8
-
-
 def _pair_shard(blobs: list[tuple[int, bytes]], word_shards: int) -> Iterator[tuple[int, int, int, bytes]]:
     loaded = [(batch, parted(data)) for batch, data in blobs]
     keys = [EliasFano(p[0]).values() for _, p in loaded]
     sizes = [len(k) for k in keys]
-    docs = [_unpack_docs(p[1], n) for (_, p), n in zip(loaded, sizes)]
-    train = np.concatenate([np.unpackbits(np.frombuffer(p[2], np.uint8), count=n).astype(bool) for (_, p), n in zip(loaded, sizes)])
     every, which = np.unique(np.concatenate(keys), return_inverse=True)
+    which = which.astype(np.int32)
     del keys
+    train = np.concatenate([np.unpackbits(np.frombuffer(p[2], np.uint8), count=n).astype(bool) for (_, p), n in zip(loaded, sizes)])
     counts = np.bincount(which[train], minlength=len(every))
     known = counts > 0
     trie = Trie(Trie.build(every[known], counts[known]))
-    code = trie.find(every)[which]
+    code = trie.find(every).astype(np.int32)[which]
     yield STATS, 0, 0, joined([np.array([0, 0, 0, int((counts == 1).sum())], np.int64).tobytes()])
+    del every, which, counts, known, trie
     at = 0
-    for (batch, p), n, doc in zip(loaded, sizes, docs):
-        c, t = code[at : at + n], train[at : at + n]
+    for (batch, p), n in zip(loaded, sizes):
+        c, t, doc = code[at : at + n], train[at : at + n], _unpack_docs(p[1], n)
         at += n
-        m = int(doc.max()) + 1
         seen = c >= 0
-        zero = np.zeros(m)
-        yield PART, batch, batch, _sparse(doc, np.bincount(doc[seen], c[seen], m), np.bincount(doc[seen], minlength=m), np.bincount(doc[~seen], minlength=m), *[zero] * 5)
+        yield PART, batch, batch, _sums({CODES: np.bincount(doc[seen], c[seen]).astype(np.int64)})
         if not t.all():
             v, w = _seven(p[3]), _seven(p[4])
             doc, seen = doc[~t], seen[~t]
@@ -224,17 +247,18 @@ def _word_shard(blobs: list[tuple[int, bytes]], shard: int) -> Iterator[tuple[in
     counts = np.bincount(which, in_train, len(every)).astype(np.int64)
     yield STATS, 0, 0, joined([np.array([counts.sum(), (counts > 0).sum(), (counts == 1).sum(), 0], np.int64).tobytes()])
     held = counts > 0
-    yield VOCABULARY, shard, -1, joined([EliasFano.encode(every[held]), counts[held].tobytes()])
+    yield VOCABULARY, shard, -1, joined([EliasFano.encode(every[held]), *_pack_counts(counts[held])])
     base, plain = np.log10(counts + 0.1), np.log10(np.maximum(counts, 1))
     at = 0
     for (batch, _), w, u, doc, train in zip(loaded, words, uses, docs, trains):
         of = np.repeat(which[at : at + len(w)], np.diff(u))
         at += len(w)
-        m = int(doc.max()) + 1
-        zero, t = np.zeros(m), train[doc]
-        context = np.bincount(doc[t], plain[of[t]], m)  # each word of a training text is a known context once
-        known = np.bincount(doc[counts[of] > 0], minlength=m)
-        yield PART, batch, batch, _sparse(doc, zero, zero, zero, np.bincount(doc, base[of], m), known, context, zero, zero)
+        m, t = int(doc.max()) + 1, train[doc]
+        yield PART, batch, batch, _sums({
+            BASE: np.bincount(doc, base[of], m),
+            KNOWN: np.bincount(doc[~t & (counts[of] > 0)], minlength=m),  # in training all words are known
+            CONTEXT: np.bincount(doc[t], plain[of[t]], m),  # and each is the context of a seen pair once
+        })
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple[int, bytes]]]]:
@@ -277,26 +301,39 @@ def _count(word_shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Looks words up in their shard's vocabulary; passes other blobs on."""
+    """Looks words up in their shard's vocabulary, all of a batch together; passes other blobs on."""
 
     def rows() -> Iterator[tuple[int, int, int, bytes]]:
         held: tuple[int, EliasFano, np.ndarray] | None = None
+        asks: list[bytes] = []
+        asker: tuple[int, int] | None = None
+
+        def answered() -> Iterator[tuple[int, int, int, bytes]]:
+            if asks:
+                yield asked(held if held and held[0] == asker[0] else None, asker[1], asks)
+                asks.clear()
+
         for batch in batches:
             for part in (batch.slice(i, 64) for i in range(0, batch.num_rows, 64)):
                 for kind, shard, of, data in zip(*(part.column(c).to_pylist() for c in ("kind", "shard", "batch", "data"))):
+                    if asker != (shard, of) or kind != ASK:
+                        yield from answered()
                     if kind == VOCABULARY:
-                        words, counts = parted(data)
-                        held = shard, EliasFano(words), np.frombuffer(counts, np.int64)
+                        words, *counts = parted(data)
+                        held = shard, EliasFano(words), _unpack_counts(*counts)
                     elif kind == ASK:
-                        yield asked(held if held and held[0] == shard else None, of, data)
+                        asker = shard, of
+                        asks.append(data)
                     else:
                         yield kind, shard, of, data
-
-    def asked(held: tuple[int, EliasFano, np.ndarray] | None, of: int, data: bytes) -> tuple[int, int, int, bytes]:
-        words, kinds, docs = parted(data)
-        word = _seven(words)
-        doc = _unpack_docs(docs, len(word))
-        context = np.unpackbits(np.frombuffer(kinds, np.uint8), count=len(word)).astype(bool)
+        yield from answered()
+
+    def asked(held: tuple[int, EliasFano, np.ndarray] | None, of: int, asks: list[bytes]) -> tuple[int, int, int, bytes]:
+        parts = [parted(a) for a in asks]
+        words = [_seven(p[0]) for p in parts]
+        context = np.concatenate([np.unpackbits(np.frombuffer(p[1], np.uint8), count=len(w)).astype(bool) for p, w in zip(parts, words)])
+        doc = np.concatenate([_unpack_docs(p[2], len(w)) for p, w in zip(parts, words)])
+        word = np.concatenate(words)
         count = np.zeros(len(word), np.int64)
         if held and held[1].n:
             at = held[1].successor(word)
@@ -305,9 +342,12 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count[some] = held[2][at[some]]
         m, plain = int(doc.max()) + 1, np.log10(np.maximum(count, 1))
         known = ~context & (count > 0)
-        zero = np.zeros(m)
-        sums = [np.bincount(doc[x], plain[x], m) for x in (context, known)]
-        return PART, of, of, _sparse(doc, *[zero] * 5, *sums, np.bincount(doc[known], minlength=m))
+        return PART, of, of, _sums({
+            UNSEEN: np.bincount(doc[~context], minlength=m),
+            CONTEXT: np.bincount(doc[context], plain[context], m),
+            BACKED: np.bincount(doc[known], plain[known], m),
+            BACKED_KNOWN: np.bincount(doc[known], minlength=m),
+        })
 
     yield from _emit(rows())
 
@@ -329,10 +369,7 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((COLUMNS, len(ids)))
             for kind, data in sorted(rows):  # in a fixed order, so that reruns agree to the last bit
                 if kind == PART:
-                    doc, *columns = parted(data)
-                    doc = np.frombuffer(doc, np.int32)
-                    for i, c in enumerate(columns):
-                        sums[i, doc] += np.frombuffer(c, np.float64)
+                    _add_sums(data, sums)
             fixed = [pa.array(ids, mask=~known), pa.array(train), pa.array(tokens)]
         yield pa.RecordBatch.from_arrays([*fixed, *(pa.array(s) for s in sums)], names=names)
 
@@ -369,13 +406,14 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     pair_shards, word_shards = 1 + size // PAIR_SHARD_BYTES, 1 + size // WORD_SHARD_BYTES
     sent = rows.mapInArrow(lambda b: _send(pair_shards, word_shards, b), BLOB)
+    tasks = 3 * (pair_shards + word_shards)  # more than shards, as several may meet in one task
     counted = (
-        sent.repartition(pair_shards + word_shards, "kind", "shard").sortWithinPartitions("kind", "shard", "batch")
+        sent.repartition(tasks, "kind", "shard").sortWithinPartitions("kind", "shard", "batch")
         .mapInArrow(lambda b: _count(word_shards, b), BLOB)
     )
     # a vocabulary has batch -1, so it comes before the questions to it
     answered = (
-        counted.repartition(pair_shards + word_shards, F.when(F.col("kind").isin(VOCABULARY, ASK), 1).otherwise(0), "shard")
+        counted.repartition(tasks, F.when(F.col("kind").isin(VOCABULARY, ASK), 1).otherwise(0), "shard")
         .sortWithinPartitions(F.when(F.col("kind").isin(VOCABULARY, ASK), 1).otherwise(0), "shard", "batch")
         .mapInArrow(_answer, BLOB)
     )
@@ -388,16 +426,15 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     n, v, once, pairs_once = (int(x or 0) for x in parts.filter("n_tokens is null").agg(*(F.sum(f"s{i}") for i in range(4))).first())
     g, u = (pairs_once + 1) / (n + 2), (once + 1) / (n + 2)
     log = [float(np.log10(x)) for x in (1 - g, g, (1 - u) / max(n, 1), u, n + 0.1 * (v + 1))]
-    unknown = F.when(F.col("train"), 0).otherwise(F.col("s2") - F.col("s7"))
-    score = (
-        F.col("s0") / STEPS - F.col("s5") + F.col("s1") * log[0] + F.col("s2") * log[1] + F.col("s6") + F.col("s7") * log[2] + unknown * log[3]
-    )
+    c = [F.col(f"s{i}") for i in range(COLUMNS)]
+    seen, unknown = F.col("n_tokens") - c[UNSEEN], c[UNSEEN] - c[BACKED_KNOWN]
+    score = c[CODES] / STEPS - c[CONTEXT] + seen * log[0] + c[UNSEEN] * log[1] + c[BACKED] + c[BACKED_KNOWN] * log[2] + unknown * log[3]
     return parts.filter("n_tokens is not null").select(
         "doc_id",
         (~F.col("train")).alias("held_out"),
         "n_tokens",
-        F.col("s4").cast("long").alias("n_known"),
+        F.when(F.col("train"), F.col("n_tokens")).otherwise(c[KNOWN].cast("long")).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("s3") - F.col("n_tokens") * log[4]).alias("base_score"),
+        (c[BASE] - F.col("n_tokens") * log[4]).alias("base_score"),
         score.alias("score"),
     )
