@@ -29,6 +29,11 @@ def hash_number(col: Column | str, hash_fn: str = "murmur3") -> Column:
     raise ValueError(f"hash_fn must be one of {HASHES}, not {hash_fn!r}")
 
 
-def hash_bucket(col: Column | str, buckets: int, hash_fn: str = "murmur3") -> Column:
-    """A bucket 0..buckets-1 that is a function of the value alone."""
+def hash_bucket(col: Column | str, buckets: int, hash_fn: str = "murmur3", salt: str = "") -> Column:
+    """A bucket 0..buckets-1 that is a function of the value and the salt alone.
+
+    Buckets of different salts are independent of each other.
+    """
+    if salt:
+        col = F.concat(F.lit(f"{salt}:"), (F.col(col) if isinstance(col, str) else col).cast("string"))
     return F.pmod(hash_number(col, hash_fn), F.lit(buckets).cast("bigint")).cast("int")

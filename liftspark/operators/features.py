@@ -25,14 +25,13 @@ from liftspark.functions.frames import (
 
 INDEX_SUFFIX = "_INT"
 VECTOR_COL, SCALED_COL = "vectorized", "normalized"
-MAX_CATEGORIES = 1_000
 
 
-def check_categories(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
-    """Refuse columns whose distinct values would not fit a fitted model."""
-    if not cols:
+def check_categories(df: DataFrame, cols: Sequence[str], max_categories: int | None) -> None:
+    """Refuse columns with more than ``max_categories`` distinct values; no limit if that is None."""
+    if not cols or max_categories is None:
         return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    counts = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
     wide = {c: counts[c] for c in cols if counts[c] > max_categories}
     if wide:
         raise ValueError(f"more than {max_categories} categories: {wide}")
@@ -55,7 +54,7 @@ def feature_pipeline(
     handle_invalid: str = "keep",
     strict: bool = False,
     impute: str | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> Pipeline:
     """Index strings, assemble all features in schema order, and scale.
 
@@ -92,21 +91,16 @@ def scaler(kind: str, input_col: str = VECTOR_COL, output_col: str = SCALED_COL)
     raise ValueError(f"unknown scaling {kind!r}")
 
 
-def categories(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct values per column, bounded and found in one job."""
+def categories(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list[str]]:
+    """Sorted distinct values per column, found in one job.
+
+    They become part of a fitted chain. With ``max_categories`` a column of more is refused before its values are read.
+    """
     if not cols:
         return {}
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
-    found = df.select(F.inline(pairs)).filter("value is not null").distinct()
-    limit = max_categories * len(cols)
-    rows = found.limit(limit + 1).collect()
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for row in rows:
-        out[row["name"]].append(row["value"])
-    wide = sorted(c for c, values in out.items() if len(values) > max_categories)
-    if wide or len(rows) > limit:
-        raise ValueError(f"more than {max_categories} categories in {wide or 'some columns'}")
-    return {c: sorted(values) for c, values in out.items()}
+    check_categories(df, cols, max_categories)
+    sets = df.agg(*[F.collect_set(F.col(c).cast("string")).alias(c) for c in cols]).first()
+    return {c: sorted(sets[c]) for c in cols}
 
 
 def indicator_name(col: str, value: str) -> str:
@@ -125,29 +119,23 @@ def one_hot(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:
 
 @dataclass(frozen=True)
 class TrainingSet:
-    """What the automatic chain needs to know about a data set."""
+    """The columns and the task of a data set, as the automatic chain takes them."""
 
     row_id: str
     target: str
     task: str
     date_field: str = ""
-    group_fields: tuple[str, ...] = ()
     drop: tuple[str, ...] = ()
     fill: int = FILL_SENTINEL
-    row_display: int = 5
-    col_display: int = 4
-    importance_display: int = 15
-    probability_col: str = "propensitypositiveclass"
-    max_categories: int = MAX_CATEGORIES
+    probability_col: str = "probability_positive"
+    max_categories: int | None = None
     hook: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def kind(self) -> str:
-        return "time_series" if self.task == "regression" and self.date_field else self.task
-
-    @property
-    def display_columns(self) -> list[str]:
-        return [self.row_id, *([self.date_field] if self.date_field else []), *self.group_fields]
+        """The task; a regression over dates is a time series."""
+        dated = self.task == "regression" and bool(self.date_field)
+        return "time_series" if dated else self.task
 
 
 @dataclass(frozen=True)
@@ -188,23 +176,17 @@ class AutoFeatures:
             raise ValueError("feature names collide after renaming")
         return AutoFeatures(self.config, columns, values)
 
-    def transform(self, df: DataFrame, legacy: bool = False) -> DataFrame:
+    def transform(self, df: DataFrame) -> DataFrame:
         """Id, target if present, and the training columns in training order.
 
-        A category that does not occur here is all zeros; ``legacy`` puts the
-        fill value there, which takes another pass over the rows.
+        A category that does not occur here is all zeros.
         """
         cfg, cleaned = self.config, self._cleaned(df)
         known = {c: v for c, v in self.values.items() if c in cleaned.columns}
-        if legacy:
-            here = categories(cleaned, list(known), cfg.max_categories)
-            known = {c: [v for v in values if v in set(here[c])] for c, values in known.items()}
         flags = [indicator_name(c, v) for c, values in self.values.items() for v in values]
         encoded = one_hot(cleaned, known)
         renamed = encoded.toDF(*[sanitize_name(c) for c in encoded.columns])
-        return sync_columns(
-            renamed, self.columns, (cfg.row_id, cfg.target), cfg.fill, indicators=() if legacy else flags
-        )
+        return sync_columns(renamed, self.columns, (cfg.row_id, cfg.target), cfg.fill, indicators=flags)
 
 
 def assembler(columns: Sequence[str], output_col: str = VECTOR_COL) -> VectorAssembler:

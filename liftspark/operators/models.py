@@ -151,8 +151,8 @@ class AutoModel:
         value = scrub_prediction(cfg.kind, "prediction", cfg.probability_col)
         return scored.select(*own, value.alias("prediction"))
 
-    def importance(self, like: DataFrame) -> DataFrame:
-        return feature_importance(self.model, self.features.columns, like, self.features.config.importance_display)
+    def importance(self, like: DataFrame, top: int = 15) -> DataFrame:
+        return feature_importance(self.model, self.features.columns, like, top)
 
 
 def train_auto(df: DataFrame, config: TrainingSet, **settings) -> AutoModel:

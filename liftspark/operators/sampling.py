@@ -14,15 +14,20 @@ from liftspark.operators.profile import class_fractions
 BUCKETS = 10_000
 
 
-def hash_sample(df: DataFrame, id: str, fraction: float, hash_fn: str = "murmur3") -> DataFrame:
-    """About ``fraction`` of the rows: the same rows each time."""
-    return df.filter(hash_bucket(id, BUCKETS, hash_fn) < F.lit(round(fraction * BUCKETS)))
+def _salt(purpose: str, seed: int | str) -> str:
+    """Each kind of draw has a hash of its own, so that one can follow another; ``seed`` tells repeated draws apart."""
+    return f"{purpose}-{seed}"
 
 
-def split_column(id: str, weights: Sequence[float], hash_fn: str = "murmur3") -> Column:
+def hash_sample(df: DataFrame, id: str, fraction: float, hash_fn: str = "murmur3", seed: int | str = 0) -> DataFrame:
+    """About ``fraction`` of the rows: the same rows each time. Draw again with another ``seed``."""
+    return df.filter(hash_bucket(id, BUCKETS, hash_fn, _salt("sample", seed)) < F.lit(round(fraction * BUCKETS)))
+
+
+def split_column(id: str, weights: Sequence[float], hash_fn: str = "murmur3", seed: int | str = 0) -> Column:
     """Index of the split that a row falls into, by weight."""
     total, reached, out = float(sum(weights)), 0.0, None
-    bucket = hash_bucket(id, BUCKETS, hash_fn)
+    bucket = hash_bucket(id, BUCKETS, hash_fn, _salt("split", seed))
     for i, weight in enumerate(weights[:-1]):
         reached += weight
         hit = bucket < F.lit(round(reached / total * BUCKETS))
@@ -31,8 +36,8 @@ def split_column(id: str, weights: Sequence[float], hash_fn: str = "murmur3") ->
     return last if out is None else out.otherwise(last)
 
 
-def hash_split(df: DataFrame, id: str, weights: Sequence[float], hash_fn: str = "murmur3") -> list[DataFrame]:
-    split = split_column(id, weights, hash_fn)
+def hash_split(df: DataFrame, id: str, weights: Sequence[float], hash_fn: str = "murmur3", seed: int | str = 0) -> list[DataFrame]:
+    split = split_column(id, weights, hash_fn, seed)
     return [df.filter(split == i) for i in range(len(weights))]
 
 
@@ -40,45 +45,44 @@ def stratified_sample(
     df: DataFrame,
     col: str,
     id: str,
-    fractions: Mapping,
+    fractions: Mapping | DataFrame,
     overall: float | None = None,
     hash_fn: str = "murmur3",
-    legacy: bool = False,
+    seed: int | str = 0,
 ) -> DataFrame:
-    """Keep a fraction of each class, by one predicate on the id's hash.
+    """Keep a fraction of each class; classes without a fraction are left out.
 
-    Classes without a fraction, null among them, are left out. ``legacy`` keeps
-    unlisted classes whole and uses whole percents, the limit included.
+    ``fractions`` maps classes (None for null) to shares, or is a table of ``col`` and ``fraction``,
+    which may have any number of classes.
     """
-    if legacy:
-        salt = hash_bucket(id, 100, hash_fn)
-        keep = F.lit(True)
-        for value, fraction in fractions.items():
-            keep = keep & ((F.col(col) != F.lit(value)) | (salt <= int(fraction * 100)))
+    bucket = hash_bucket(id, BUCKETS, hash_fn, _salt("stratum", seed))
+    if isinstance(fractions, DataFrame):
+        shares = fractions.select(F.col(col).alias("_class"), F.col("fraction").alias("_share"))
+        out = df.join(shares, F.col(col).eqNullSafe(F.col("_class")))
+        out = out.filter(bucket < F.round(F.col("_share") * BUCKETS)).select(df["*"])
     else:
-        salt = hash_bucket(id, BUCKETS, hash_fn)
         keep = F.lit(False)
         for value, fraction in fractions.items():
-            same = F.col(col).isNull() if value is None else F.col(col) == F.lit(value)
-            keep = keep | (same & (salt < round(fraction * BUCKETS)))
-    out = df.filter(F.coalesce(keep, F.lit(False)))
-    if overall is None:
-        return out
-    # a second hash, so that the overall sample cuts across the first
-    again = F.pmod(F.xxhash64(F.col(id), F.lit("overall")), F.lit(BUCKETS)) < round(overall * BUCKETS)
-    return out.filter(again)
+            keep = keep | (F.col(col).eqNullSafe(F.lit(value)) & (bucket < round(fraction * BUCKETS)))
+        out = df.filter(keep)
+    return out if overall is None else hash_sample(out, id, overall, hash_fn, f"overall-{seed}")
 
 
 def balanced_sample(
-    df: DataFrame, label: str, id: str, max_imbalance: float = 5.0, overall: float | None = None, hash_fn: str = "murmur3"
+    df: DataFrame,
+    label: str,
+    id: str,
+    max_imbalance: float = 5.0,
+    overall: float | None = None,
+    hash_fn: str = "murmur3",
+    seed: int | str = 0,
 ) -> DataFrame:
-    """Cap every class at a multiple of the smallest; one row per class reaches the driver."""
-    fractions = {r[label]: r["fraction"] for r in class_fractions(df, label, max_imbalance).collect()}
-    return stratified_sample(df, label, id, fractions, overall, hash_fn)
+    """Cap every class at a multiple of the smallest."""
+    return stratified_sample(df, label, id, class_fractions(df, label, max_imbalance), overall, hash_fn, seed)
 
 
-def with_fold(df: DataFrame, id: str, folds: int, hash_fn: str = "murmur3", col: str = "fold") -> DataFrame:
-    return df.withColumn(col, hash_bucket(id, folds, hash_fn))
+def with_fold(df: DataFrame, id: str, folds: int, hash_fn: str = "murmur3", col: str = "fold", seed: int | str = 0) -> DataFrame:
+    return df.withColumn(col, hash_bucket(id, folds, hash_fn, _salt("fold", seed)))
 
 
 def out_of_fold_predictions(

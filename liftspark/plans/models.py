@@ -11,7 +11,7 @@ from liftspark.functions.columns import last_probability, round_half_up
 from liftspark.operators import curves, models, tuning
 from liftspark.operators.features import TrainingSet
 from liftspark.operators.gain import cumulative_gain
-from liftspark.operators.sampling import hash_split
+from liftspark.operators.sampling import balanced_sample, hash_split
 from liftspark.plans.features import gold_pipeline
 from liftspark.plans.registry import query
 from liftspark.plans.tables import TRAIN_END, is_train, jobs, table
@@ -89,7 +89,7 @@ def fit_auto(spark, sf_dir):
 def fit_auto_regression(spark, sf_dir):
     """A regression with a date field becomes a time-series task with date parts."""
     li = table(spark, sf_dir, "lineitem").withColumn("row_id", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
-    df = li.select("row_id", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_extendedprice")
+    df = checkpointed(li.select("row_id", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_extendedprice"))
     config = TrainingSet("row_id", "l_extendedprice", "regression", date_field="l_shipdate")
     train, test = hash_split(df, "row_id", [0.9, 0.1])
     model = models.train_auto(train, config, maxIter=5, maxDepth=4)
@@ -97,24 +97,21 @@ def fit_auto_regression(spark, sf_dir):
     return found.select(round_half_up("mse", 2).alias("mse"), round_half_up("r2").alias("r2"))
 
 
-def _lr_search(choices):
-    estimator, _ = models.classifier("LR", "normalized")
-    return estimator, models.param_grid(estimator, choices)
-
-
 @query("cv_grid")
 def cv_grid(spark, sf_dir):
     train, _ = gold(spark, sf_dir)
-    estimator, grid = _lr_search({"regParam": [0.001, 0.3], "maxIter": [10]})
-    found, _ = tuning.grid_search(train, estimator, grid, models.evaluator(), "jobid", folds=2)
+    estimator, grid = models.classifier("LR", "normalized", grid=True)
+    found, _ = tuning.grid_search(train, estimator, grid, models.evaluator(), "jobid", folds=2, parallelism=8)
     return found
 
 
 @query("tvs")
 def tvs(spark, sf_dir):
+    """The random forest on a balanced sample, judged on a tenth of it."""
     train, _ = gold(spark, sf_dir)
-    estimator, grid = _lr_search({"regParam": [0.001, 0.3], "maxIter": [10]})
-    found, _ = tuning.validation_split(train, estimator, grid, models.evaluator(), "jobid")
+    balanced = balanced_sample(train, "final_response", "jobid", max_imbalance=5.0)
+    estimator, grid = models.classifier("RF", "normalized")
+    found, _ = tuning.validation_split(balanced, estimator, grid, models.evaluator(), "jobid")
     return found
 
 
@@ -128,10 +125,10 @@ def random_search(spark, sf_dir):
 
 @query("retrain_all")
 def retrain_all(spark, sf_dir):
-    """Train the fast methods on all training rows; report effective parameters and gain."""
+    """Train the methods on all training rows; report effective parameters and gain."""
     train, test = gold(spark, sf_dir)
     out = None
-    for method in ("LR", "SVM", "GBT"):
+    for method in ("LR", "RF", "SVM", "GBT"):
         estimator, grid = models.classifier(method, "normalized")
         model = tuning.refit(train, estimator, grid[0])
         row = evaluated(spark, method, model, test).withColumn("params", F.lit(str(models.params_of(grid, model))))

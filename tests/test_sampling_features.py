@@ -23,9 +23,9 @@ def test_stratified(spark):
     counts = {r["c"]: r["count"] for r in got.groupBy("c").count().collect()}
     assert counts[1] == 1000 and 180 < counts[3] < 330 and set(counts) == {1, 3}
     assert S.stratified_sample(df, "c", "id", {None: 1.0}).count() == 1000
-    legacy = S.stratified_sample(df, "c", "id", {2: 0.0}, legacy=True).groupBy("c").count().collect()
-    left = {r["c"]: r["count"] for r in legacy}
-    assert left[1] == left[3] == 1000 and 0 < left[2] < 40
+    shares = spark.createDataFrame([(1, 1.0), (None, 0.5)], "c long, fraction double")
+    by_table = {r["c"]: r["count"] for r in S.stratified_sample(df, "c", "id", shares).groupBy("c").count().collect()}
+    assert set(by_table) == {1, None} and by_table[1] == 1000 and 400 < by_table[None] < 600
     assert S.stratified_sample(df, "c", "id", {1: 1.0}, overall=0.5).count() == pytest.approx(500, abs=80)
 
 
@@ -45,7 +45,23 @@ def test_folds_partition_the_ids(spark):
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     got = S.out_of_fold_predictions(df, LogisticRegression(maxIter=3), "id", 3)
     assert got.count() == 300 and got.select("id").distinct().count() == 300
-    assert got.filter(F.col("fold") != F.expr("pmod(hash(id), 3)")).count() == 0
+    assert got.groupBy("fold").count().count() == 3
+
+
+def test_draws_compose(spark):
+    """A draw leaves all buckets of the next kind of draw filled."""
+    df = spark.range(20_000).withColumn("y", (F.col("id") % 20 == 0).cast("int"))
+    balanced = S.balanced_sample(df, "y", "id", max_imbalance=2.0)
+    for part, share in zip(S.hash_split(balanced, "id", [0.9, 0.1]), (0.9, 0.1)):
+        counts = {r["y"]: r["count"] for r in part.groupBy("y").count().collect()}
+        assert counts[1] == pytest.approx(1000 * share, rel=0.25) and counts[0] == pytest.approx(2000 * share, rel=0.25)
+    sample = S.hash_sample(df, "id", 0.11)
+    assert [p.count() for p in S.hash_split(sample, "id", [0.8, 0.2])] == pytest.approx([1760, 440], rel=0.2)
+    half = S.hash_sample(df, "id", 0.5)
+    assert S.hash_sample(half, "id", 0.5).count() == half.count()
+    assert S.hash_sample(half, "id", 0.5, seed=1).count() == pytest.approx(5000, rel=0.1)
+    folds = {r["fold"]: r["count"] for r in S.with_fold(sample, "id", 5).groupBy("fold").count().collect()}
+    assert len(folds) == 5 and min(folds.values()) > 350
 
 
 def test_profile(spark):
@@ -101,15 +117,13 @@ def test_auto_features(spark):
     assert [tuple(r) for r in fitted.transform(train).collect()][2] == (3, 1, 3.0, 1, 0, 0)
     test = spark.createDataFrame([(7, "z", 2.0, "?"), (8, "x", None, "?")], "id int, s string, extra double, more string")
     assert [tuple(r) for r in fitted.transform(test).collect()] == [(7, -9999, 0, 0, 0), (8, -9999, 0, 1, 0)]
-    legacy = [tuple(r) for r in fitted.transform(test, legacy=True).collect()]
-    assert legacy == [(7, -9999, -9999, 0, -9999), (8, -9999, -9999, 1, -9999)]
 
 
 def test_config(spark):
-    config = FE.TrainingSet("id", "y", "regression", date_field="d", group_fields=("g",))
-    assert config.kind == "time_series" and config.display_columns == ["id", "d", "g"]
+    config = FE.TrainingSet("id", "y", "regression", date_field="d")
+    assert config.kind == "time_series"
     assert FE.TrainingSet("id", "y", "classification", date_field="d").kind == "classification"
-    assert config.fill == -9999 and config.importance_display == 15
+    assert config.fill == -9999
 
 
 def test_hook_and_dates(spark):
