@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftspark.operators.prefix import (
-    MAX_BROADCAST_ROWS,
     Cells,
     assign_cells,
     inside_order,
@@ -29,16 +28,17 @@ _BIG = "decimal(38,0)"
 def threshold_counts(
     df: DataFrame, score: str, label: str, keys: Sequence[str] = (), nulls: str = "error"
 ) -> tuple[DataFrame, Cells]:
-    """Counts per distinct score: ``pos``, ``neg``, and ``tp``, ``fp`` at or above it."""
+    """Counts per distinct score: ``pos``, ``neg``, and ``tp``, ``fp`` at or above it. A null label is an error."""
     slim = df.select(*dict.fromkeys([*keys, score, label]))
-    is_pos = (F.coalesce(F.col(label), F.lit(0)) == 1).cast("bigint")
+    missing = F.raise_error(F.lit(f"column {label!r} has null labels"))
+    is_pos = F.when(F.col(label).isNull(), missing).otherwise((F.col(label) == 1).cast("bigint")).cast("bigint")
     rows = prepared(slim.withColumns({"_pos": is_pos, "_neg": 1 - is_pos}), score, None, keys, nulls=nulls)
     cells = plan_cells(rows, measure="_pos")
     if cells.n_empty_keys or not cells.n_rows:
         raise ValueError(f"{cells.n_empty_keys} of {cells.n_keys} groups have no positive label")
     rows = assign_cells(rows, cells)
     counts = rows.groupBy(*cells.part, "_score").agg(F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))
-    inside = inside_order(cells, has_id=False)
+    inside = inside_order(cells, counts.columns)
     ranked = counts.withColumns({"_in_pos": F.sum("pos").over(inside), "_in_neg": F.sum("neg").over(inside)})
     # offsets come from the rows, aggregated map-side, so that the counts per
     # score are shuffled for one use only
@@ -59,15 +59,13 @@ def class_totals(df: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFra
     return df.groupBy(*keys).agg(F.count_if(is_pos).alias("n_pos"), F.count_if(~is_pos).alias("n_neg"))
 
 
-def _per_key(points: DataFrame, values: DataFrame, keys: Sequence[str], cells: Cells) -> DataFrame:
+def _per_key(points: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the one row of ``values`` that belongs to each key."""
     names = [c for c in values.columns if c not in keys]
     if not keys:
         row = values.first()
         return points.withColumns({c: F.lit(row[c]) for c in names})
     same = [points[k].eqNullSafe(values[k]) for k in keys]
-    if cells.n_keys <= MAX_BROADCAST_ROWS:
-        values = F.broadcast(values)
     return points.join(values, same).select(points["*"], *[values[c] for c in names])
 
 
@@ -85,16 +83,16 @@ def _end_point(df: DataFrame, keys: Sequence[str], **values: float) -> DataFrame
 
 def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
     """``fpr``, ``tpr`` per threshold, and the point (0, 0), whose threshold is null."""
-    points, cells = threshold_counts(df, score, label, keys)
-    full = _per_key(points, class_totals(df, label, keys), keys, cells)
+    points, _ = threshold_counts(df, score, label, keys)
+    full = _per_key(points, class_totals(df, label, keys), keys)
     curve = full.select(*keys, _share("fp", "n_neg").alias("fpr"), _share("tp", "n_pos").alias("tpr"), "threshold")
     return curve.unionByName(_end_point(df, keys, fpr=0.0, tpr=0.0))
 
 
 def precision_recall_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
     """``precision``, ``recall`` per threshold, and the end point (1, 0)."""
-    points, cells = threshold_counts(df, score, label, keys)
-    full = _per_key(points, class_totals(df, label, keys), keys, cells)
+    points, _ = threshold_counts(df, score, label, keys)
+    full = _per_key(points, class_totals(df, label, keys), keys)
     precision = F.col("tp").cast("double") / (F.col("tp") + F.col("fp"))
     curve = full.select(*keys, precision.alias("precision"), _share("tp", "n_pos").alias("recall"), "threshold")
     return curve.unionByName(_end_point(df, keys, precision=1.0, recall=0.0))
@@ -107,14 +105,14 @@ def det_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -
     positive count to the first that misses no positive; thresholds outside
     would only repeat a rate.
     """
-    points, cells = threshold_counts(df, score, label, keys)
+    points, _ = threshold_counts(df, score, label, keys)
     points = checkpointed(points)  # read twice, and costly to make
     ends = points.groupBy(*keys).agg(
         F.max("tp").alias("n_pos"),
         F.max("fp").alias("n_neg"),
         F.min(F.struct("fp", "threshold"))["threshold"].alias("begin"),
     )
-    full = _per_key(points, ends, keys, cells)
+    full = _per_key(points, ends, keys)
     kept = full.filter((F.col("threshold") <= F.col("begin")) & (F.col("tp") - F.col("pos") < F.col("n_pos")))
     missed = (F.col("n_pos") - F.col("tp")).cast("double") / F.col("n_pos")
     return kept.select(*keys, _share("fp", "n_neg").alias("fpr"), missed.alias("fnr"), "threshold")

@@ -67,7 +67,6 @@ def gain_table(
         label,
         nulls=nulls,
         empty_keys="error" if no_responders == "error" else "ignore",
-        max_cuts=len(edges),
     )
     names = [f"`{k}`" for k in keys]
     by_key = f"PARTITION BY {', '.join(names)}" if keys else ""
@@ -103,7 +102,7 @@ class GainEvaluator(
     """Cumulative gain at a depth, for use in cross-validation and tuning."""
 
     idCol: Param[str] = Param(
-        Params._dummy(), "idCol", "unique numeric column that orders equal scores", TypeConverters.toString
+        Params._dummy(), "idCol", "unique column that orders equal scores", TypeConverters.toString
     )
     depth: Param[float] = Param(
         Params._dummy(), "depth", "share of the rows counted from the top", TypeConverters.toFloat

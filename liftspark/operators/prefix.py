@@ -10,11 +10,15 @@ A score that many rows share gets a cell of its own, which is split again at
 quantiles of the id. As both sets of split points are equal-mass over all rows,
 no part grows beyond a few times ``n / cells`` however the scores are tied or
 the keys are skewed. Split points that are off cost balance, never correctness.
+
+Small tables go the same way as large ones: there are at least as many cells as
+shuffle partitions, and one cell per ``ROWS_PER_CELL`` rows beyond that.
 """
 
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import groupby
@@ -24,12 +28,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from liftspark.session import pinned
+from liftspark.session import checkpointed
 
 ROWS_PER_CELL = 1_000_000
-FINE_CELLS, MAX_CELLS = 1_024, 16_384
+FINE_CELLS = 1_024
 MIN_SAMPLE, SAMPLE_PER_CELL = 200_000, 20
-MAX_BROADCAST_ROWS = 200_000
 
 _RESULT_NAMES = {"cut", "rank", "n", "total", "cum", "value"}
 _FIRST_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -48,8 +51,8 @@ class Cells:
     id_splits: tuple[float, ...]
     descending: bool
     keyed: bool
-    single: bool
-    """No key has more rows than one cell may, so a plain window per key will do."""
+    id_skip: int = 0
+    """Bytes that all text ids begin with alike."""
 
     @property
     def key(self) -> list[str]:
@@ -59,18 +62,15 @@ class Cells:
     def part(self) -> list[str]:
         return [*self.key, "_cell", *(["_sub"] if self.tied else [])]
 
-    @property
-    def max_parts(self) -> int:
-        cells = len(self.score_splits) + 3
-        return min(self.n_rows, self.n_keys * (cells + len(self.tied) * (len(self.id_splits) + 1)))
-
 
 def prepared(
     df: DataFrame, score: str, id: str | None, keys: Sequence[str], descending: bool = True, nulls: str = "error"
 ) -> DataFrame:
     """Add the ordering columns ``_key``, ``_score`` and ``_id``.
 
-    Missing scores are an error by default; ``nulls="last"`` puts them last.
+    Missing scores are an error by default; ``nulls="last"`` puts them last. Ids are numbers or
+    text. Scores that a double may not hold exactly keep their own type in ``_exact``, which orders
+    them where doubles are equal.
     """
     if nulls not in ("error", "last"):
         raise ValueError("nulls must be 'error' or 'last'")
@@ -80,9 +80,11 @@ def prepared(
         last = F.lit(float("-inf") if descending else float("inf"))
         value = F.when(value.isNull() | F.isnan(value), last).otherwise(value)
     out = {"_score": value}
+    if isinstance(df.schema[score].dataType, (T.LongType, T.DecimalType)):
+        out["_exact"] = F.col(score)
     if id is not None:
-        if not isinstance(df.schema[id].dataType, T.NumericType):
-            raise TypeError(f"the tie-breaking id {id!r} must be numeric")
+        if not isinstance(df.schema[id].dataType, (T.NumericType, T.StringType)):
+            raise TypeError(f"the tie-breaking id {id!r} must be a number or text")
         out["_id"] = F.col(id)
     if keys:
         # a struct is never null itself, so null keys form a segment and join
@@ -90,17 +92,34 @@ def prepared(
     return df.withColumns(out)
 
 
+def _exact_ties(kind: T.DataType | None) -> float:
+    """Up to which size equal doubles mean equal scores."""
+    if isinstance(kind, T.LongType):
+        return 2.0**53
+    return math.inf if not isinstance(kind, T.DecimalType) or kind.precision <= 15 else -1.0
+
+
+def _id_number(rows: DataFrame, skip: int) -> F.Column:
+    """A double that never falls as the id grows; of a text the six bytes after the first ``skip``."""
+    if isinstance(rows.schema["_id"].dataType, T.StringType):
+        return F.expr(f"cast(conv(rpad(hex(substring(cast(_id AS BINARY), {skip + 1}, 6)), 12, '0'), 16, 10) AS DOUBLE)")
+    return F.col("_id").cast("double")
+
+
 def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = None) -> Cells:
     """Count the rows, check the scores and choose the split points."""
     keyed, has_id = "_key" in rows.columns, "_id" in rows.columns
+    has_text = has_id and isinstance(rows.schema["_id"].dataType, T.StringType)
+    ends = [F.min("_id").alias("low"), F.max("_id").alias("high")] if has_text else []
     counts = rows.groupBy(*(["_key"] if keyed else [])).agg(
         F.count("*").alias("n"),
         F.expr("count_if(_score IS NULL OR isnan(_score))").alias("bad"),
         (F.sum(measure) if measure else F.count("*")).alias("m"),
+        *ends,
     )
     got = counts.selectExpr(
         "sum(n) AS n",
-        "max(n) AS largest",
+        *(["min(low) AS low", "max(high) AS high"] if has_text else []),
         "sum(bad) AS bad",
         "count_if(n > 0) AS keys",
         "count_if(n > 0 AND coalesce(m, 0) = 0) AS empty",
@@ -109,18 +128,19 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
     if got["bad"]:
         raise ValueError(f"{got['bad']} of {n} scores are null or NaN")
 
-    k = min(MAX_CELLS, math.ceil(n / ROWS_PER_CELL))
-    if (got["largest"] or 0) <= ROWS_PER_CELL:
-        k = 1  # every key fits one task
-    else:  # counts per cell are cheap, and finer cells leave fewer rows to rank
-        k = max(k, min(FINE_CELLS, n // 1_000))
-    cols = ["_score", "_id"] if has_id else ["_score"]
+    # counts per cell are cheap, and finer cells leave fewer rows to rank
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = max(math.ceil(n / ROWS_PER_CELL), min(FINE_CELLS, n // 1_000), min(parts, n))
+    skip = len(os.path.commonprefix([(got["low"] or "").encode(), (got["high"] or "").encode()])) if has_text else 0
+    cols = ["_score", "_place"] if has_id else ["_score"]
+    placed = rows.withColumn("_place", _id_number(rows, skip)) if has_id else rows
     found: list[list[float]] = [[] for _ in cols]
     if k > 1:
         wanted = max(MIN_SAMPLE, SAMPLE_PER_CELL * k)
-        sample = rows if n <= wanted else rows.sample(wanted / n, seed=42)
+        sample = placed if n <= wanted else placed.sample(wanted / n, seed=42)
         found = sample.approxQuantile(cols, [i / k for i in range(1, k)], 1 / (10 * k))
 
+    exact = _exact_ties(rows.schema["_exact"].dataType if "_exact" in rows.columns else None)
     splits: set[float] = set()
     heavy: list[float] = []
     for value, run in groupby(found[0]):
@@ -129,7 +149,8 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
             splits.add(value)
         if len(list(run)) > 1 and (math.isinf(value) or math.isfinite(after)):
             splits.update(v for v in (after,) if math.isfinite(value))
-            heavy.append(value)
+            if math.isinf(value) or abs(value) < exact:
+                heavy.append(value)
     ordered = sorted(splits)
     # cells from below: one for -inf, the ranges between split points, one for inf
     position = {v: i + 2 for i, v in enumerate(ordered)} | {-math.inf: 0, math.inf: len(ordered) + 2}
@@ -145,7 +166,7 @@ def plan_cells(rows: DataFrame, descending: bool = True, measure: str | None = N
         id_splits=tuple(sorted(set(found[1]))) if has_id else (),
         descending=descending,
         keyed=keyed,
-        single=k <= 1,
+        id_skip=skip,
     )
 
 
@@ -160,14 +181,12 @@ def _bucket(rows: DataFrame, col: str, splits: Sequence[float], out: str) -> Dat
 
 def assign_cells(rows: DataFrame, cells: Cells) -> DataFrame:
     """Add ``_cell`` (0 comes first) and, where scores are tied, ``_sub``."""
-    if cells.single:
-        return rows.withColumn("_cell", F.lit(0))
     last = len(cells.score_splits) + 2
     place = f"CASE WHEN _score = double('-inf') THEN 0 WHEN _score = double('inf') THEN {last} ELSE _cell + 1 END"
     out = _bucket(rows, "_score", cells.score_splits, "_cell")
     out = out.withColumn("_cell", F.expr(f"{last} - {place}" if cells.descending else place))
     if cells.tied:
-        out = _bucket(out.withColumn("_idd", F.col("_id").cast("double")), "_idd", cells.id_splits, "_sub")
+        out = _bucket(out.withColumn("_idd", _id_number(out, cells.id_skip)), "_idd", cells.id_splits, "_sub")
         out = out.withColumn("_sub", F.expr(f"if({_in_tie(cells)}, _sub, 0)")).drop("_idd")
     return out
 
@@ -176,10 +195,11 @@ def _in_tie(cells: Cells) -> str:
     return f"_cell IN ({', '.join(map(str, cells.tied))})"
 
 
-def inside_order(cells: Cells, has_id: bool = True) -> Window:
-    """The window over one part, in ranking order."""
-    by = F.col("_score").desc() if cells.descending else F.col("_score").asc()
-    return Window.partitionBy(*cells.part).orderBy(by, *([F.col("_id").asc()] if has_id else []))
+def inside_order(cells: Cells, columns: Sequence[str]) -> Window:
+    """The window over one part, in ranking order, of rows that have these columns."""
+    scores = [F.col(c) for c in ("_score", "_exact") if c in columns]
+    by = [c.desc_nulls_last() if cells.descending else c.asc_nulls_last() for c in scores]
+    return Window.partitionBy(*cells.part).orderBy(*by, *([F.col("_id").asc()] if "_id" in columns else []))
 
 
 def part_offsets(rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFrame:
@@ -209,13 +229,8 @@ def part_offsets(rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFram
 
 
 def with_offsets(ranked: DataFrame, rows: DataFrame, cells: Cells, sums: Sequence[str]) -> DataFrame:
-    """Join offsets by part: broadcast within the size bound, co-partitioned beyond."""
-    if cells.single:
-        return ranked.withColumns({f"_before_{c}": F.lit(0).cast("bigint") for c in ("n", *sums)})
-    offsets = part_offsets(rows, cells, sums)
-    if cells.max_parts <= MAX_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    return ranked.join(offsets, cells.part)
+    """Join offsets by part, by which the ranked rows are partitioned already."""
+    return ranked.join(part_offsets(rows, cells, sums), cells.part)
 
 
 def ordered_prefix(
@@ -235,7 +250,7 @@ def ordered_prefix(
     rows = prepared(df, score, id, keys, descending, nulls)
     cells = plan_cells(rows, descending)
     rows = assign_cells(rows, cells)
-    inside = inside_order(cells)
+    inside = inside_order(cells, rows.columns)
     ranked = rows.withColumns(
         {
             "_in": F.row_number().over(inside),
@@ -260,12 +275,10 @@ def cumulative_at(
     descending: bool = True,
     nulls: str = "error",
     empty_keys: str = "ignore",
-    max_cuts: int = 64,
 ) -> DataFrame:
     """Running total of ``measure`` and the score at chosen ranks, per key.
 
-    ``cuts`` is SQL for an array of at most ``max_cuts`` 1-based ranks, given
-    the row count ``n`` of a key. The result has the keys and ``cut`` (the index
+    ``cuts`` is SQL for an array of 1-based ranks, given the row count ``n`` of a key. The result has the keys and ``cut`` (the index
     in the array), ``rank``, ``n``, ``total``, ``cum``, ``value``.
 
     Cells that no cut falls into contribute by their totals, which map-side
@@ -279,33 +292,15 @@ def cumulative_at(
     slim = df.select(*dict.fromkeys(c for c in (*keys, score, id, measure) if c))
     slim = slim.withColumn("_m", F.expr(f"coalesce(cast(`{measure}` AS BIGINT), 0L)" if measure else "0L"))
     rows = prepared(slim, score, id, keys, descending, nulls)
-    rows = rows.select("_score", "_m", *(["_id"] if id else []), *(["_key"] if keys else []))
+    rows = rows.select("_score", "_m", *(c for c in ("_exact", "_id", "_key") if c in rows.columns))
     cells = plan_cells(rows, descending, "_m" if measure else None)
     if empty_keys == "error" and (cells.n_empty_keys or not cells.n_rows):
         raise ValueError(f"{cells.n_empty_keys} of {cells.n_keys} groups have no positive label")
     rows = assign_cells(rows, cells)
-    key, bound = cells.key, cells.n_keys * max_cuts
+    key = cells.key
     by_key = "PARTITION BY _key" if keys else ""
     ranks = f"transform({cuts}, (r, i) -> struct(i AS cut, cast(r AS BIGINT) AS rank))"
     result = [*[f"_key.`{k}` AS `{k}`" for k in keys], "cut", "rank", "n", "total"]
-    if cells.single:
-        order = f"{by_key} ORDER BY _score {'DESC' if descending else 'ASC'}{', _id' if id else ''}"
-        ranked = rows.selectExpr(
-            "*",
-            f"cast(row_number() OVER ({order}) AS BIGINT) AS _in",
-            f"sum(_m) OVER ({order} ROWS UNBOUNDED PRECEDING) AS cum",
-        )
-        totals = rows.groupBy(*key).agg(F.count("*").alias("n"), F.sum("_m").alias("total"))
-        totals = totals.selectExpr("*", f"{ranks} AS _ranks")
-        if keys:
-            # the window has the rows of a key together already
-            ranked = ranked.join(_small(totals, cells.n_keys), key)
-        elif row := totals.first():
-            at = ", ".join(f"struct({r['cut']} AS cut, {r['rank']}L AS rank)" for r in row["_ranks"])
-            ranked = ranked.selectExpr("*", f"{row['n']}L AS n", f"{row['total'] or 0}L AS total", f"array({at}) AS _ranks")
-        wanted = ranked.filter("array_contains(_ranks.rank, _in)")
-        hits = wanted.selectExpr("*", "inline(filter(_ranks, c -> c.rank = _in))")
-        return hits.selectExpr(*result, "cum", "_score AS value")
 
     hist = rows.groupBy(*key, "_cell").agg(
         F.count("*").alias("size"),
@@ -324,7 +319,7 @@ def cumulative_at(
     )
     hits = hist.selectExpr("*", f"inline(filter({ranks}, c -> c.rank > end - size AND c.rank <= end))")
     whole = "rank = end" if measure else "(rank = end OR lo = hi)"
-    found = pinned(
+    found = checkpointed(
         hits.selectExpr(
             *key,
             "cut",
@@ -337,38 +332,33 @@ def cumulative_at(
             "rank - end + size AS rest",
             f"if({whole}, cum, cum - sum) AS cum",
             f"{'lo' if descending else 'hi'} AS value",
-        ),
-        bound,
+        )
     )
     done = found.filter("whole").selectExpr(*result, "cum", "value")
     open_cuts = found.filter("NOT whole")
 
     if cells.tied:
-        open_cuts = _cuts_in_ties(rows, open_cuts, cells, bound)
-    inside = inside_order(cells, id is not None)
-    ranked = _rows_of(rows, open_cuts, cells.part, bound).withColumns(
+        open_cuts = _cuts_in_ties(rows, open_cuts, cells)
+    inside = inside_order(cells, rows.columns)
+    ranked = _rows_of(rows, open_cuts, cells.part).withColumns(
         {"_in": F.row_number().over(inside), "_in_m": F.sum("_m").over(inside.rowsBetween(*_FIRST_TO_HERE))}
     )
-    picked = _small(open_cuts.drop("value").withColumnRenamed("rest", "_in"), bound)
+    picked = open_cuts.drop("value").withColumnRenamed("rest", "_in")
     at_cut = ranked.join(picked, [*cells.part, "_in"]).selectExpr(*result, "cum + _in_m AS cum", "_score AS value")
     return done.unionByName(at_cut)
 
 
-def _small(df: DataFrame, bound: int) -> DataFrame:
-    return F.broadcast(df) if bound <= MAX_BROADCAST_ROWS else df
-
-
-def _rows_of(rows: DataFrame, cuts: DataFrame, on: list[str], bound: int) -> DataFrame:
-    return rows.join(_small(cuts.select(*on).distinct(), bound), on, "left_semi")
+def _rows_of(rows: DataFrame, cuts: DataFrame, on: list[str]) -> DataFrame:
+    return rows.join(cuts.select(*on).distinct(), on, "left_semi")
 
 
-def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) -> DataFrame:
+def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells) -> DataFrame:
     """Move cuts inside tied cells on to the id range they fall into."""
     tied_cuts, group = cuts.filter(_in_tie(cells)), [*cells.key, "_cell"]
     if tied_cuts.isEmpty():
         return cuts
     totals = (
-        _rows_of(rows, tied_cuts, group, bound)
+        _rows_of(rows, tied_cuts, group)
         .groupBy(*group, "_sub")
         .agg(F.count("*").alias("s_size"), F.sum("_m").alias("s_sum"))
     )
@@ -382,7 +372,7 @@ def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) ->
         f"sum(s_sum) OVER {to_here} AS s_cum",
     )
     moved = (
-        totals.join(_small(tied_cuts.drop("_sub"), bound), group)
+        totals.join(tied_cuts.drop("_sub"), group)
         .filter("rest > s_end - s_size AND rest <= s_end")
         .withColumns(
             {
@@ -393,4 +383,4 @@ def _cuts_in_ties(rows: DataFrame, cuts: DataFrame, cells: Cells, bound: int) ->
         )
         .select(*cuts.columns)
     )
-    return cuts.filter(f"NOT {_in_tie(cells)}").unionByName(pinned(moved, bound))
+    return cuts.filter(f"NOT {_in_tie(cells)}").unionByName(checkpointed(moved))

@@ -61,7 +61,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[
     pair = f"array(floor({place}) + 1, least(floor({place}) + 2, n))".replace("{p}", "p")
     present = df.filter(F.col(value).isNotNull())
     at = cumulative_at(
-        present, value, None, f"flatten(transform({shares}, p -> {pair}))", keys, descending=False, max_cuts=2 * len(probs)
+        present, value, None, f"flatten(transform({shares}, p -> {pair}))", keys, descending=False
     )
     both = at.groupBy(*keys, F.expr("cast(cut DIV 2 AS INT) AS q")).agg(
         F.expr("max(if(cut % 2 = 0, value, NULL)) AS lo"),
@@ -85,7 +85,11 @@ def quantiles_approx(df: DataFrame, value: str, probs: Sequence[float], accuracy
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between the extremes; the last one is closed. Empty bins count 0."""
     present = df.filter(F.col(value).isNotNull())
-    lo, hi = present.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
+    number = F.col(value).cast("double")
+    wrong = F.count_if(F.isnan(number) | (F.abs(number) == float("inf")))
+    lo, hi, wrong = present.agg(F.min(number), F.max(number), wrong).first()
+    if wrong:
+        raise ValueError(f"{wrong} values of {value!r} are NaN or infinite")
     if lo is None:
         raise ValueError(f"column {value!r} has no values")
     if lo == hi:

@@ -35,14 +35,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; on a cluster a folder of
-    one machine cannot be read by the executors, so there it is an error.
+    Only a session whose executors run in the driver's process may do without the
+    setting; elsewhere a folder of one machine cannot be read by all, so there it is an error.
     """
     global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="liftspark-")
@@ -59,14 +60,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "checkpoint")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def pinned(df: DataFrame, n_rows: int, max_local_rows: int = 100_000) -> DataFrame:
-    """Fix a small report so that later steps do not compute it again.
-
-    ``n_rows`` is a known upper bound. Within ``max_local_rows`` the rows become
-    a local relation, beyond it they go to a table in the shared folder.
-    """
-    if n_rows <= max_local_rows:
-        return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
-    return checkpointed(df)

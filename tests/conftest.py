@@ -21,13 +21,3 @@ def small_cells(monkeypatch):
     from liftspark.operators import prefix
 
     monkeypatch.setattr(prefix, "ROWS_PER_CELL", 7)
-
-
-@pytest.fixture
-def no_local_tables(monkeypatch):
-    """Take the paths for results that are too large to keep on the driver."""
-    from liftspark import session
-    from liftspark.operators import prefix
-
-    monkeypatch.setattr(prefix, "MAX_BROADCAST_ROWS", -1)
-    monkeypatch.setattr(prefix, "pinned", lambda df, n: session.pinned(df, n, max_local_rows=-1))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
-EDGES = [0.01, 0.02, 0.03, 0.04, 0.05, 0.08, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
-
+from liftspark.operators.gain import GAIN_EDGES
 
 def half_up(x: float, digits: int = 4) -> float:
     return math.floor(x * 10**digits + 0.5) / 10**digits
@@ -16,26 +16,22 @@ def ranked(rows):
     return sorted(rows, key=lambda r: (-r[1], r[0]))
 
 
-def gains(rows, edges=EDGES):
+def gains(rows, edges=GAIN_EDGES):
+    """Running counts of responders, read off at the rank of each edge."""
     order, n = ranked(rows), len(rows)
-    total = sum(r[2] for r in order)
-    out, low = [], 0.0
-    for high in edges:
-        band = [r for i, r in enumerate(order) if low * n <= i < high * n]
-        top = [r for i, r in enumerate(order) if i < high * n]
-        row = [high]
-        for part in (band, top):
-            size, resp = len(part), sum(r[2] for r in part)
-            row += [
-                size,
-                resp,
-                half_up(resp / size) if size else None,
-                half_up(resp / total),
-                half_up((resp / total) * (n / size)) if size else None,
-            ]
-        out.append(tuple(row))
-        low = high
-    return out
+    running = [0, *accumulate(r[2] for r in order)]
+    cuts = [0, *(math.ceil(e * n) for e in edges)]
+
+    def columns(size, responders):
+        gain = responders / running[-1]
+        if not size:
+            return [size, responders, None, half_up(gain), None]
+        return [size, responders, half_up(responders / size), half_up(gain), half_up(gain * (n / size))]
+
+    return [
+        (e, *columns(to - start, running[to] - running[start]), *columns(to, running[to]))
+        for e, start, to in zip(edges, cuts, cuts[1:])
+    ]
 
 
 def auc(rows):

@@ -33,11 +33,6 @@ def test_single_cell(spark):
     assert table(spark, rows) == model.gains(rows)
 
 
-def test_large_result_paths(spark, small_cells, no_local_tables):
-    rows = sample(300, 9)
-    assert table(spark, rows) == model.gains(rows)
-
-
 def test_one_row_and_empty_bands(spark):
     assert table(spark, [(1, 0.3, 1)]) == model.gains([(1, 0.3, 1)])
     few = [(i, i / 10, i % 2) for i in range(5)]

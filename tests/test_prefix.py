@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from liftspark.operators import prefix
 from liftspark.operators.prefix import assign_cells, ordered_prefix, plan_cells, prepared
@@ -71,12 +72,6 @@ def test_keys_with_null_and_a_hot_key(spark, small_cells):
     assert got == want
 
 
-def test_without_broadcast(spark, small_cells, no_local_tables):
-    rows = sample(200, 8)
-    got = ordered_prefix(spark.createDataFrame(rows, SCHEMA), "score", "id", sums=["y"]).collect()
-    assert {r["id"]: (r["row_num"], r["cum_y"]) for r in got} == expected(rows)
-
-
 def test_special_values(spark, small_cells):
     inf = float("inf")
     rows = [(i, s, 0) for i, s in enumerate([0.0, -0.0, inf, -inf, 1.0, -0.0, 0.0, inf] * 5)]
@@ -122,9 +117,32 @@ def test_missing_scores(spark):
     assert {r["id"]: r["row_num"] for r in got} == {3: 0, 1: 1, 2: 2}
 
 
-def test_text_id_is_refused(spark):
-    with pytest.raises(TypeError, match="numeric"):
-        ordered_prefix(spark.createDataFrame([("a", 0.5)], "id string, score double"), "score", "id")
+@pytest.mark.parametrize("stem", ["", "JOB-2021-é-"])
+def test_text_ids(spark, small_cells, stem):
+    """Ties order by the text, and split by it where it begins to differ."""
+    r = random.Random(4)
+    rows = [(f"{stem}{i:x}", r.choice([0.5, 0.5, 0.25]), i % 2) for i in r.sample(range(5000), 300)]
+    df = spark.createDataFrame(rows, "id string, score double, y int")
+    got = ordered_prefix(df, "score", "id", sums=["y"]).collect()
+    assert {r["id"]: (r["row_num"], r["cum_y"]) for r in got} == expected(rows)
+    cells = plan_cells(prepared(df, "score", "id", []))
+    assert cells.tied and len(cells.id_splits) > 5
+
+
+def test_other_ids_are_refused(spark):
+    with pytest.raises(TypeError, match="number or text"):
+        ordered_prefix(spark.createDataFrame([(True, 0.5)], "id boolean, score double"), "score", "id")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)"])
+@pytest.mark.parametrize("descending", [True, False])
+def test_scores_beyond_the_precision_of_doubles(spark, small_cells, kind, descending):
+    big = 2**53
+    rows = [(i, big + i * 7 % 40, 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "id bigint, score bigint, y int").withColumn("score", F.col("score").cast(kind))
+    got = {r["id"]: r["row_num"] for r in ordered_prefix(df, "score", "id", descending=descending).collect()}
+    sign = -1 if descending else 1
+    assert got == {row[0]: k for k, row in enumerate(sorted(rows, key=lambda r: (sign * r[1], r[0])))}
 
 
 @pytest.mark.parametrize("distinct,hot", [(1000, 0.0), (1000, 0.5), (3, 0.0), (1, 0.0)])
@@ -164,7 +182,7 @@ def test_quantiles(spark, small_cells, values):
     assert got == pytest.approx({p: model.quantile(values, p) for p in probs})
 
 
-def test_quantiles_by_key(spark, small_cells, no_local_tables):
+def test_quantiles_by_key(spark, small_cells):
     values = [(k, float((i * 37) % 101)) for k in ("a", "b", None) for i in range(60 if k == "a" else 9)]
     df = spark.createDataFrame(values, "k string, v double")
     got = {(r["k"], r["prob"]): r["quantile"] for r in quantiles(df, "v", [0.25, 0.5], ["k"]).collect()}
