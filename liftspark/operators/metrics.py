@@ -53,14 +53,19 @@ def multiclass_metrics(df: DataFrame, label: str, predicted: str, keys: Sequence
 
 
 def log_loss(df: DataFrame, label: str, probability: str, keys: Sequence[str] = ()) -> DataFrame:
-    p = F.least(F.greatest(F.col(probability), F.lit(LOG_LOSS_CLIP)), F.lit(1 - LOG_LOSS_CLIP))
+    """Mean negative log-likelihood; a missing label or probability is an error."""
+    given = F.col(probability).cast("double")
+    missing = F.col(label).isNull() | given.isNull() | F.isnan(given)
+    given = F.when(missing, F.raise_error(F.lit("null labels, or null or NaN probabilities"))).otherwise(given).cast("double")
+    p = F.least(F.greatest(given, F.lit(LOG_LOSS_CLIP)), F.lit(1 - LOG_LOSS_CLIP))
     loss = -F.ln(F.when(F.col(label) == 1, p).otherwise(1 - p))
     return df.groupBy(*keys).agg(F.avg(loss).alias("log_loss"))
 
 
 def regression_metrics(df: DataFrame, target: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Mean squared error and R²; a constant target scores 1 if met exactly, else 0."""
-    y, p = F.col(target).cast("double"), F.col(predicted).cast("double")
+    """Mean squared error and R² of the rows that have both; a constant target scores 1 if met exactly, else 0."""
+    p = F.col(predicted).cast("double")
+    y = F.when(p.isNotNull(), F.col(target).cast("double"))
     sums = df.groupBy(*keys).agg(F.avg((y - p) * (y - p)).alias("mse"), F.var_pop(y).alias("variance"))
     r2 = F.when(F.col("variance") == 0, (F.col("mse") == 0).cast("double")).otherwise(
         1 - F.try_divide(F.col("mse"), F.col("variance"))

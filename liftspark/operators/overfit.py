@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftspark.functions.columns import add_run_tag, group_tag, split_group_tag
+from liftspark.functions.columns import add_run_tag
 from liftspark.operators.gain import gain_table
 from liftspark.operators.profile import wide
 
@@ -60,17 +60,18 @@ def relative_change(df: DataFrame, base: str = "train", tests: Sequence[str] = (
 def overfit_delta(
     lift: DataFrame, value: str = "gain_cum", capture_type: str = "sales", prod_type: str = "mob"
 ) -> DataFrame:
-    """Train against test for each band and tag."""
-    chosen = lift.filter((F.col("capture_type") == capture_type) & (F.col("prod_type") == prod_type))
-    tagged = chosen.withColumn("group_tag", group_tag("group", "tag"))
-    return split_group_tag(relative_change(wide(tagged, ["group_tag"], "test_type", value, TEST_TYPES)))
+    """Train against test for each band, a number, and tag."""
+    by_set = wide(
+        lift.where((F.col("prod_type") == prod_type) & (F.col("capture_type") == capture_type)), ["group", "tag"], "test_type", value, TEST_TYPES
+    )
+    return relative_change(by_set)
 
 
 def overfit_flags(
     delta: DataFrame, group: float, by: str = "train_test1", threshold: float | None = OVERFIT_ALERT
 ) -> DataFrame:
     """Tags at one band, largest change first, above the threshold."""
-    rows = delta.filter(F.col("group") == F.lit(str(group)))
+    rows = delta.filter(F.abs(F.col("group") - F.lit(float(group))) < 1e-9)
     if threshold is not None:
         rows = rows.filter(F.col(by) > threshold)
     return rows.orderBy(F.col(by).desc(), "tag")

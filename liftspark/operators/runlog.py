@@ -48,10 +48,12 @@ def append_log(path: str, runs: DataFrame, kv: DataFrame) -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        spark.read.schema(RUNS_SCHEMA).parquet(f"{path}/runs"),
-        spark.read.schema(KV_SCHEMA).parquet(f"{path}/run_kv"),
-    )
+    """Runs and keys. A run that was appended several times is listed once, as it was last started."""
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(f"{path}/runs")
+    rest = [c for c in runs.columns if c not in ("run_id", "start_time")]
+    last = F.max(F.struct("start_time", *rest)).alias("last")
+    once = runs.groupBy("run_id").agg(last).select("run_id", "last.*").select(*runs.columns)
+    return once, spark.read.schema(KV_SCHEMA).parquet(f"{path}/run_kv").distinct()
 
 
 def runs_wide(

@@ -83,12 +83,10 @@ def schema_profile(spark, sf_dir):
     f"""WITH {NUMERIC_DIRTY_SQL} SELECT l_orderkey, l_linenumber,
       CASE WHEN quantity IS NULL OR isnan(quantity) THEN 0 ELSE quantity END AS quantity,
       coalesce(line, 0) AS line, coalesce(flag, '') AS flag, is_final
-    FROM numeric_dirty WHERE quantity IS NULL OR NOT isinf(quantity)""",
+    FROM numeric_dirty""",
 )
 def fill_by_type(spark, sf_dir):
-    df = numeric_dirty(spark, sf_dir)
-    finite = df.filter(F.col("quantity").isNull() | (F.abs("quantity") != float("inf")))
-    return FR.fill_by_type(finite, 0, "")
+    return FR.fill_by_type(numeric_dirty(spark, sf_dir), 0, "")
 
 
 @query(
@@ -243,37 +241,3 @@ def hash_bucket_query(spark, sf_dir):
         hash_bucket("o_orderkey", 100, "md5").alias("salt"),
         hash_bucket("o_orderkey", 3, "md5").alias("fold"),
     )
-
-
-def _mix_k(k: str) -> str:
-    """SQL of a 32-bit block before it is mixed in."""
-    scaled = f"((({k}) * 3432918353::UBIGINT) & 4294967295::UBIGINT)"
-    turned = f"((({scaled} << 15) & 4294967295::UBIGINT) | ({scaled} >> 17))"
-    return f"(({turned} * 461845907::UBIGINT) & 4294967295::UBIGINT)"
-
-
-def _mix_h(h: str) -> str:
-    turned = f"((({h} << 13) & 4294967295::UBIGINT) | ({h} >> 19))"
-    return f"(({turned} * 5 + 3864292196::UBIGINT) & 4294967295::UBIGINT)"
-
-
-# The public 32-bit Murmur3 hash of a bigint with seed 42, step by step.
-MURMUR_SQL = f"""a AS (SELECT o_orderkey, (o_orderkey & 4294967295)::UBIGINT AS lo, ((o_orderkey >> 32) & 4294967295)::UBIGINT AS hi FROM orders),
-  b AS (SELECT o_orderkey, hi, xor(42::UBIGINT, {_mix_k('lo')}) AS h FROM a),
-  c AS (SELECT o_orderkey, xor({_mix_h('h')}, {_mix_k('hi')}) AS h FROM b),
-  d AS (SELECT o_orderkey, xor({_mix_h('h')}, 8::UBIGINT) AS h FROM c),
-  e AS (SELECT o_orderkey, (xor(h, h >> 16) * 2246822507::UBIGINT) & 4294967295::UBIGINT AS h FROM d),
-  f AS (SELECT o_orderkey, (xor(h, h >> 13) * 3266489909::UBIGINT) & 4294967295::UBIGINT AS h FROM e),
-  g AS (SELECT o_orderkey, xor(h, h >> 16)::BIGINT AS h FROM f),
-  hashed AS (SELECT o_orderkey, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS h FROM g)"""
-
-
-@query(
-    "hash_bucket_native",
-    f"""WITH {MURMUR_SQL} SELECT o_orderkey, cast((h % 100 + 100) % 100 AS INTEGER) AS salt,
-      cast((h % 3 + 3) % 3 AS INTEGER) AS fold FROM hashed""",
-)
-def hash_bucket_native(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", hash_bucket("o_orderkey", 100).alias("salt"), hash_bucket("o_orderkey", 3).alias("fold")
-    )

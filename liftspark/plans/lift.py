@@ -142,7 +142,7 @@ def sales_counts_compare(spark, sf_dir):
     return overfit.sales_counts(lift_long(spark, sf_dir))
 
 
-DELTA_SQL = f"""{LIFT_LONG_SQL}, wide AS (SELECT "group"::VARCHAR AS "group", tag,
+DELTA_SQL = f"""{LIFT_LONG_SQL}, wide AS (SELECT "group", tag,
     max(gain_cum) FILTER (test_type = 'train') AS train, max(gain_cum) FILTER (test_type = 'test1') AS test1,
     max(gain_cum) FILTER (test_type = 'test2') AS test2
   FROM gains WHERE capture_type = 'sales' AND prod_type = 'mob' GROUP BY ALL),
@@ -162,7 +162,7 @@ def overfit_delta(spark, sf_dir):
 
 @query(
     "overfit_flags",
-    f"""{DELTA_SQL} SELECT * FROM delta WHERE "group" = '0.2' AND train_test1 > CAST(-0.02 AS DOUBLE)
+    f"""{DELTA_SQL} SELECT * FROM delta WHERE "group" = 0.2 AND train_test1 > CAST(-0.02 AS DOUBLE)
     ORDER BY train_test1 DESC, tag""",
 )
 def overfit_flags(spark, sf_dir):
@@ -262,7 +262,7 @@ def det_curve(spark, sf_dir):
 
 @query(
     "mean_avg_precision",
-    f"""WITH u AS (SELECT user_id, event_type, sum(value::DECIMAL(18, 2)) AS total, count(*) >= 2 AS rel FROM events GROUP BY ALL),
+    f"""WITH u AS (SELECT user_id, event_type, sum(floor(value / 100)::BIGINT) AS total, count(*) >= 2 AS rel FROM events GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY total DESC, event_type) AS rk FROM u),
     h AS (SELECT *, sum(rel::INT) OVER (PARTITION BY user_id ORDER BY rk) AS hits FROM r),
     a AS (SELECT user_id, coalesce(sum(CASE WHEN rel THEN hits::DOUBLE / rk END) / nullif(sum(rel::INT), 0), 0) AS ap FROM h GROUP BY 1)
@@ -270,7 +270,7 @@ def det_curve(spark, sf_dir):
 )
 def mean_avg_precision(spark, sf_dir):
     pairs = checkpointed(user_types(spark, sf_dir))
-    found = curves.mean_average_precision(pairs, "user_id", "item", "total", "relevant")
+    found = curves.mean_average_precision(pairs, "user_id", "event_type", "total", "relevant")
     return found.withColumn("mean_avg_precision", round_half_up("mean_avg_precision"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -102,7 +104,8 @@ def export_single_csv(spark, sf_dir):
 def export_json_records(spark, sf_dir):
     path = scratch_path(spark, "records")
     report = value_range(jobs(spark, sf_dir), "competitor_price", ["region"])
-    writers.write_table(report, path, fmt="json")
+    text = spark.createDataFrame([(writers.json_records(report),)], "value string")
+    writers.write_table(text, path, fmt="text")
     return spark.read.schema(PRICE_SCHEMA).json(path)
 
 
@@ -138,16 +141,13 @@ def sql_select_limit(spark, sf_dir):
 def catalog_tables(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     writers.write_table(jobs(spark, sf_dir), path)
-    catalog.drop_table(spark, "jobs_bronze")
-    catalog.create_external_table(spark, "jobs_bronze", path)
+    own = f"jobs_bronze_{uuid.uuid4().hex}"  # no table of the caller's is touched
+    catalog.create_external_table(spark, own, path)
     try:
-        names = [r["tableName"] for r in catalog.tables_like(spark, "*bronze*").collect()]
-        counts = [spark.table(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows")) for n in names]
+        (name,) = [r["tableName"] for r in catalog.tables_like(spark, own).collect()]
+        out = spark.table(name).agg(F.lit(name[: len("jobs_bronze")]).alias("table_name"), F.count("*").alias("n_rows"))
     finally:
-        catalog.drop_table(spark, "jobs_bronze")
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
+        catalog.drop_table(spark, own)
     return out
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SINGLE_FILE_ROWS = 1_000_000
+from liftspark.session import checkpointed
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -34,29 +33,29 @@ def write_partitioned(
     )
 
 
-def export_single_csv(df: DataFrame, path: str, max_rows: int = MAX_SINGLE_FILE_ROWS) -> None:
+def export_single_csv(df: DataFrame, path: str) -> None:
     """Write a report as one CSV file with a header.
 
-    One task writes the file, so more than ``max_rows`` rows are refused.
+    The rows are written in parallel first, then copied by one task into the one file. An older report
+    stays until the new one is complete.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"a single file holds at most {max_rows} rows; use write_table")
     spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.parts")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    df.repartition(1).write.option("header", True).csv(folder.toString())
+    checkpointed(df).repartition(1).write.option("header", True).csv(folder.toString())
     parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".csv")]
-    fs.delete(target, True)
+    older = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.old")
+    replaced = fs.exists(target) and fs.rename(target, older)
     if not fs.rename(parts[0], target):
+        if replaced:
+            fs.rename(older, target)
         raise OSError(f"could not move the report to {path}")
+    fs.delete(older, True)
     fs.delete(folder, True)
 
 
-def json_records(df: DataFrame, max_rows: int = 1_000) -> str:
-    """The rows as one JSON array, for small results."""
+def json_records(df: DataFrame) -> str:
+    """The rows as one JSON array; the text is held by the caller, rows arrive a partition at a time."""
     text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    rows = [r[0] for r in df.limit(max_rows + 1).select(text).collect()]
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; use write_table with format json")
-    return json.dumps([json.loads(r) for r in rows])
+    return "[" + ", ".join(r[0] for r in df.select(text).toLocalIterator()) + "]"

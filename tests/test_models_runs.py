@@ -68,7 +68,7 @@ def test_search(data):
     for trial, point in enumerate(grid):
         scores = []
         for fold in range(2):
-            mine = F.expr(f"pmod(hash(jobid), 2) = {fold}")
+            mine = F.expr(f"pmod(hash(concat('fold-0:', jobid)), 2) = {fold}")
             model = estimator.fit(data.filter(~mine), point)
             scores.append(M.evaluator().evaluate(model.transform(data.filter(mine))))
         assert rows[trial][2] == pytest.approx(sum(scores) / 2)
@@ -130,10 +130,12 @@ def test_overfit(spark):
     ]
     lift = spark.createDataFrame(rows, "group double, tag string, test_type string, capture_type string, prod_type string, size_cum bigint, resp_num_cum bigint, gain_cum double")
     delta = {(r["group"], r["tag"]): r["train_test1"] for r in O.overfit_delta(lift).collect()}
-    assert delta[("0.2", "b_c")] == pytest.approx(-0.5) and delta[("0.1", "a")] == 0
+    assert delta[(0.2, "b_c")] == pytest.approx(-0.5) and delta[(0.1, "a")] == 0
     flags = O.overfit_flags(O.overfit_delta(lift), 0.2)
     assert [r["tag"] for r in flags.collect()] == ["a"]
     assert len(O.overfit_flags(O.overfit_delta(lift), 0.2, threshold=None).collect()) == 3
+    whole = lift.withColumn("group", F.lit(1.0)).filter("tag = 'a'").distinct()
+    assert len(O.overfit_flags(O.overfit_delta(whole), 1, threshold=None).collect()) == 1
     counts = {(r["test_type"], r["group"]): r for r in O.sales_counts(lift).collect()}
     row = counts[("train", 0.1)]
     assert (row["resp_num_cum_indiv"], row["resp_num_cum_natio"], row["size_cum_indiv"]) == (20, 10, 200)
