@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftspark.operators.prefix import (
@@ -26,9 +26,12 @@ _BIG = "decimal(38,0)"
 
 
 def threshold_counts(
-    df: DataFrame, score: str, label: str, keys: Sequence[str] = (), nulls: str = "error"
+    df: DataFrame, score: str, label: str, keys: Sequence[str] = (), nulls: str = "error", next_counts: bool = False
 ) -> tuple[DataFrame, Cells]:
-    """Counts per distinct score: ``pos``, ``neg``, and ``tp``, ``fp`` at or above it. A null label is an error."""
+    """Counts per distinct score: ``pos``, ``neg``, and ``tp``, ``fp`` at or above it. A null label is an error.
+
+    With ``next_counts`` also ``next_pos``, ``next_neg`` of the next smaller score, null for the last.
+    """
     slim = df.select(*dict.fromkeys([*keys, score, label]))
     missing = F.raise_error(F.lit(f"column {label!r} has null labels"))
     is_pos = F.when(F.col(label).isNull(), missing).otherwise((F.col(label) == 1).cast("bigint")).cast("bigint")
@@ -40,6 +43,8 @@ def threshold_counts(
     counts = rows.groupBy(*cells.part, "_score").agg(F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))
     inside = inside_order(cells, counts.columns)
     ranked = counts.withColumns({"_in_pos": F.sum("pos").over(inside), "_in_neg": F.sum("neg").over(inside)})
+    if next_counts:
+        ranked = _with_next(ranked, counts, cells)
     # offsets come from the rows, aggregated map-side, so that the counts per
     # score are shuffled for one use only
     placed = with_offsets(ranked, rows, cells, ["_pos", "_neg"])
@@ -50,10 +55,24 @@ def threshold_counts(
         "neg",
         (F.col("_before__pos") + F.col("_in_pos")).alias("tp"),
         (F.col("_before__neg") + F.col("_in_neg")).alias("fp"),
+        *(["next_pos", "next_neg"] if next_counts else []),
     )
     return out, cells
 
 
+def _with_next(ranked: DataFrame, counts: DataFrame, cells: Cells) -> DataFrame:
+    """Add the counts of the next smaller score: within the cell, or the first of the next cell."""
+    first = counts.groupBy(*cells.part).agg(F.max(F.struct("_score", "pos", "neg")).alias("_first"))
+    # a window over one row per cell
+    after = Window.partitionBy(*cells.key).orderBy("_cell")
+    first = first.select(*cells.part, F.lead("_first").over(after).alias("_after"))
+    inside = inside_order(cells, counts.columns)
+    here = ranked.withColumns({f"_next_{c}": F.lead(c).over(inside) for c in ("pos", "neg")})
+    return here.join(first, cells.part).withColumns(
+        {f"next_{c}": F.coalesce(F.col(f"_next_{c}"), F.col(f"_after.{c}")) for c in ("pos", "neg")}
+    )
+
+
 def class_totals(df: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
     is_pos = F.coalesce(F.col(label), F.lit(0)) == 1
     return df.groupBy(*keys).agg(F.count_if(is_pos).alias("n_pos"), F.count_if(~is_pos).alias("n_neg"))
@@ -81,9 +100,17 @@ def _end_point(df: DataFrame, keys: Sequence[str], **values: float) -> DataFrame
     )
 
 
-def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``fpr``, ``tpr`` per threshold, and the point (0, 0), whose threshold is null."""
-    points, _ = threshold_counts(df, score, label, keys)
+def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), drop_intermediate: bool = True) -> DataFrame:
+    """``fpr``, ``tpr`` per threshold, and the point (0, 0), whose threshold is null.
+
+    With ``drop_intermediate`` a threshold goes if the step to it equals the step from it: it lies on a
+    straight line between its neighbours. The first and the last threshold stay.
+    """
+    points, _ = threshold_counts(df, score, label, keys, next_counts=drop_intermediate)
+    if drop_intermediate:
+        is_first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        points = points.filter(is_first | F.col("next_pos").isNull() | turns)
     full = _per_key(points, class_totals(df, label, keys), keys)
     curve = full.select(*keys, _share("fp", "n_neg").alias("fpr"), _share("tp", "n_pos").alias("tpr"), "threshold")
     return curve.unionByName(_end_point(df, keys, fpr=0.0, tpr=0.0))

@@ -20,12 +20,13 @@ from liftspark.operators.sampling import hash_split, with_fold
 RESULT_SCHEMA = "trial int, params string, score double, score_std double"
 
 
-def _label(point: dict) -> str:
+def label_of(point: dict) -> str:
+    """A parameter map as text."""
     return json.dumps({p.name: v for p, v in sorted(point.items(), key=lambda kv: kv[0].name)})
 
 
 def _result_table(like: DataFrame, grid: Sequence[dict], scores: Sequence[float], stds: Sequence[float]) -> DataFrame:
-    rows = [(i, _label(p), float(s), float(d)) for i, (p, s, d) in enumerate(zip(grid, scores, stds))]
+    rows = [(i, label_of(p), float(s), float(d)) for i, (p, s, d) in enumerate(zip(grid, scores, stds))]
     return like.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
 
 

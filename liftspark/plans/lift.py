@@ -234,13 +234,25 @@ def _rounded(df, *cols, digits=6):
 
 @query(
     "roc_curve",
-    f"""{POINTS_SQL} SELECT {r4('fp::DOUBLE / nn', 6)} AS fpr, {r4('tp::DOUBLE / np', 6)} AS tpr, t AS threshold FROM p
-    UNION ALL SELECT 0, 0, NULL""",
+    f"""{POINTS_SQL}, s AS (SELECT *, fp - lag(fp, 1, 0) OVER w AS df, tp - lag(tp, 1, 0) OVER w AS dt,
+      lead(fp) OVER w - fp AS nf, lead(tp) OVER w - tp AS nt, row_number() OVER w AS i FROM p WINDOW w AS (ORDER BY t DESC))
+    SELECT {r4('fp::DOUBLE / nn', 6)} AS fpr, {r4('tp::DOUBLE / np', 6)} AS tpr, t AS threshold FROM s
+    WHERE i = 1 OR nf IS NULL OR nf <> df OR nt <> dt UNION ALL SELECT 0, 0, NULL""",
 )
 def roc_curve(spark, sf_dir):
     return _rounded(curves.roc_curve(scored(spark, sf_dir), "score", "final_response"), "fpr", "tpr")
 
 
+@query(
+    "roc_curve_full",
+    f"""{POINTS_SQL} SELECT {r4('fp::DOUBLE / nn', 6)} AS fpr, {r4('tp::DOUBLE / np', 6)} AS tpr, t AS threshold FROM p
+    UNION ALL SELECT 0, 0, NULL""",
+)
+def roc_curve_full(spark, sf_dir):
+    full = curves.roc_curve(scored(spark, sf_dir), "score", "final_response", drop_intermediate=False)
+    return _rounded(full, "fpr", "tpr")
+
+
 @query(
     "pr_curve",
     f"""{POINTS_SQL} SELECT {r4('tp::DOUBLE / (tp + fp)', 6)} AS precision, {r4('tp::DOUBLE / np', 6)} AS recall,

@@ -1,10 +1,14 @@
 """Training, tuning and prediction queries.
 
-Model scores differ between engines, so most of these have no equivalent SQL.
+Model scores differ between engines, so queries that return them have no equivalent SQL. Beside each
+stands one on the same estimator whose answer is known: rates that a converged or fully grown model must
+reproduce, and what a search has to report.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from liftspark.functions.columns import last_probability, round_half_up
@@ -14,7 +18,7 @@ from liftspark.operators.gain import cumulative_gain
 from liftspark.operators.sampling import balanced_sample, hash_split
 from liftspark.plans.features import gold_pipeline
 from liftspark.plans.registry import query
-from liftspark.plans.tables import TRAIN_END, is_train, jobs, table
+from liftspark.plans.tables import JOBS_SQL, TRAIN_END, is_train, jobs, r4, table
 from liftspark.session import checkpointed
 
 FEATURE_NAMES = ["region", "competitor_name", "competitor_price", "dtv_flag"]
@@ -58,6 +62,68 @@ fit_lr = query("fit_lr")(_fit("LR"))
 fit_gbt = query("fit_gbt")(_fit("GBT"))
 
 
+def grouped_jobs(spark, sf_dir):
+    """Indicators of region and flag as features, so that a model can tell every group apart."""
+    rows = jobs(spark, sf_dir).select("jobid", "region", "dtv_flag", F.col("final_response").cast("int").alias("final_response"))
+    names = [*REGIONS[1:], *FLAGS[1:]]
+    flags = [(F.col("region") == r).cast("double").alias(r) for r in REGIONS[1:]] + [(F.col("dtv_flag") == f).cast("double").alias(f) for f in FLAGS[1:]]
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(rows.select("*", *flags))
+    return checkpointed(ready.select("jobid", "region", "dtv_flag", "final_response", "features"))
+
+
+# categories of the fixture
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+FLAGS = ["No", "Unknown", "Yes"]
+GROUP_RATES_SQL = f"""WITH {JOBS_SQL} SELECT region, dtv_flag, count(*) AS n, {r4('avg(final_response::DOUBLE)', 6)} AS rate
+    FROM jobs GROUP BY ALL"""
+
+
+def _rates(scored, rate, keys=("region", "dtv_flag")):
+    return scored.groupBy(*keys).agg(F.count("*").alias("n"), round_half_up(F.avg(rate), 6).alias("rate"))
+
+
+@query(
+    "fit_lr_rates",
+    f"WITH {JOBS_SQL} SELECT region, count(*) AS n, {r4('avg(final_response::DOUBLE)')} AS rate FROM jobs GROUP BY 1",
+)
+def fit_lr_rates(spark, sf_dir):
+    """Without penalty and at convergence, the mean probability of a category is its observed rate."""
+    rows = grouped_jobs(spark, sf_dir)
+    estimator, _ = models.classifier("LR", "features")
+    free = {estimator.regParam: 0.0, estimator.elasticNetParam: 0.0, estimator.maxIter: 500, estimator.tol: 1e-14}
+    predicted = estimator.fit(rows, free).transform(rows)
+    scored = predicted.withColumn("p", last_probability(predicted, "predict_prob"))
+    return scored.groupBy("region").agg(F.count("*").alias("n"), round_half_up(F.avg("p")).alias("rate"))
+
+
+@query("fit_rf_rates", f"WITH {JOBS_SQL} SELECT count(*) AS n, {r4('avg(final_response::DOUBLE)', 6)} AS rate FROM jobs")
+def fit_rf_rates(spark, sf_dir):
+    """One unsampled tree: its leaves, merged where they predict one class, have the rates of their rows."""
+    rows = grouped_jobs(spark, sf_dir)
+    estimator, _ = models.classifier("RF", "features")
+    whole = {estimator.numTrees: 1, estimator.maxDepth: 12, estimator.bootstrap: False, estimator.featureSubsetStrategy: "all"}
+    predicted = estimator.fit(rows, whole).transform(rows)
+    return _rates(predicted.withColumn("p", last_probability(predicted, "predict_prob")), F.col("p"), ())
+
+
+@query("fit_gbt_rates", GROUP_RATES_SQL)
+def fit_gbt_rates(spark, sf_dir):
+    """The first round of boosting fits labels of -1 and 1: a leaf's margin is twice its rate less 1."""
+    rows = grouped_jobs(spark, sf_dir)
+    estimator, _ = models.classifier("GBT", "features")
+    predicted = estimator.fit(rows, {estimator.maxIter: 1, estimator.maxDepth: 12}).transform(rows)
+    return _rates(predicted, (vector_to_array("predict_raw")[1] + 1) / 2)
+
+
+@query("fit_svm_separable", f"WITH {JOBS_SQL} SELECT count(*) AS n, 0::BIGINT AS errors FROM jobs")
+def fit_svm_separable(spark, sf_dir):
+    """A label that one indicator decides is learned without error."""
+    rows = grouped_jobs(spark, sf_dir).withColumn("final_response", (F.col("dtv_flag") == "Yes").cast("int"))
+    estimator, _ = models.classifier("SVM", "features")
+    predicted = estimator.fit(rows).transform(rows)
+    return predicted.agg(F.count("*").alias("n"), F.count_if(F.col("predict_int") != F.col("final_response")).alias("errors"))
+
+
 @query("fit_expert")
 def fit_expert(spark, sf_dir):
     train, test = gold(spark, sf_dir)
@@ -115,6 +181,61 @@ def tvs(spark, sf_dir):
     return found
 
 
+def _search_report(found, best):
+    """What every search has to report, whatever its scores: trials, distinct maps, and whether the best is the first of the largest."""
+    rows = found.orderBy("trial").collect()
+    chosen = tuning.best_index([r["score"] for r in rows])
+    label = tuning.label_of(best)
+    return found.agg(
+        F.count("*").alias("n_trials"),
+        F.count_distinct("params").alias("n_maps"),
+        F.min("trial").alias("first_trial"),
+        F.max("trial").alias("last_trial"),
+        (F.max(F.when(F.col("params") == label, F.col("trial"))) == chosen).alias("best_is_first_of_largest"),
+    )
+
+
+def _search_sql(trials: int) -> str:
+    return f"SELECT {trials}::BIGINT AS n_trials, {trials}::BIGINT AS n_maps, 0 AS first_trial, {trials - 1} AS last_trial, true AS best_is_first_of_largest"
+
+
+@query("cv_report", _search_sql(3))
+def cv_report(spark, sf_dir):
+    """The penalties of the linear SVM on three folds."""
+    train, _ = gold(spark, sf_dir)
+    estimator, _ = models.classifier("SVM", "normalized")
+    grid = models.param_grid(estimator, {"regParam": models.CHOICES["SVM"]["regParam"]})
+    found, best = tuning.grid_search(train, estimator, grid, models.evaluator(), "jobid", folds=3, parallelism=8)
+    return _search_report(found, best)
+
+
+@query("random_search_report", _search_sql(4))
+def random_search_report(spark, sf_dir):
+    train, _ = gold(spark, sf_dir)
+    estimator, grid = models.classifier("LR", "normalized", grid=True)
+    found, best = tuning.random_search(train, estimator, grid, models.evaluator(), "jobid", max_evals=4, folds=2)
+    return _search_report(found, best)
+
+
+@query("refit_best", f"WITH {JOBS_SQL} SELECT count(*) AS n, 2::BIGINT AS n_classes FROM jobs WHERE assignment_start_dt >= DATE '{TRAIN_END}'")
+def refit_best(spark, sf_dir):
+    """Search, refit with the pick on all training rows, and score the test rows."""
+    train, test = gold(spark, sf_dir)
+    estimator, grid = models.classifier("LR", "normalized", grid=True)
+    _, best = tuning.random_search(train, estimator, grid, models.evaluator(), "jobid", max_evals=2, folds=2)
+    predicted = tuning.refit(train, estimator, best).transform(test)
+    return predicted.agg(F.count("*").alias("n"), F.lit(2).cast("long").alias("n_classes"))
+
+
+@query("importance_total", "SELECT 4::BIGINT AS n_features, 1.0::DOUBLE AS total")
+def importance_total(spark, sf_dir):
+    """Importances are shares: all features together have 1."""
+    train, _ = gold(spark, sf_dir)
+    estimator, _ = models.classifier("RF", "normalized")
+    found = models.feature_importance(estimator.fit(train), FEATURE_NAMES, train, top=15)
+    return found.agg(F.count("*").alias("n_features"), F.round(F.sum("importance"), 9).alias("total"))
+
+
 @query("random_search")
 def random_search(spark, sf_dir):
     train, _ = gold(spark, sf_dir)

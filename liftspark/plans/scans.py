@@ -93,6 +93,17 @@ def partition_layout(spark, sf_dir):
     return readers.file_layout(spark, path, "region")
 
 
+@query("partition_rows", f"WITH {JOBS_SQL} SELECT region, count(*) AS n, true AS has_files FROM jobs GROUP BY 1")
+def partition_rows(spark, sf_dir):
+    """What the layout audit sees of a partitioned table: every partition has files, and holds its rows."""
+    path = scratch_path(spark, "layout")
+    writers.write_partitioned(jobs(spark, sf_dir), path, "region")
+    layout = readers.file_layout(spark, path, "region")
+    files = layout.select(F.col("region").alias("r"), (F.col("n_files") > 0).alias("has_files"))
+    rows = readers.read_table(spark, path).groupBy("region").agg(F.count("*").alias("n"))
+    return rows.join(files, F.col("region") == F.col("r"), "left").select("region", "n", F.coalesce("has_files", F.lit(False)).alias("has_files"))
+
+
 @query("export_single_csv", PRICE_SQL)
 def export_single_csv(spark, sf_dir):
     path = scratch_path(spark, "report") + ".csv"

@@ -30,8 +30,14 @@ def test_curves(spark, small_cells):
     pos = sum(r[2] for r in rows)
     neg = len(rows) - pos
     points = model.thresholds(rows)
-    roc = {(r["threshold"], r["fpr"], r["tpr"]) for r in curves.roc_curve(df, "score", "y").collect()}
-    assert roc == {(None, 0.0, 0.0)} | {(t, fp / neg, tp / pos) for t, tp, fp, _ in points}
+    roc = {(r["threshold"], r["fpr"], r["tpr"]) for r in curves.roc_curve(df, "score", "y", drop_intermediate=False).collect()}
+    every = [(t, fp / neg, tp / pos) for t, tp, fp, _ in points]
+    assert roc == {(None, 0.0, 0.0), *every}
+    at = [(0, 0), *((p[2], p[1]) for p in points)]
+    steps = [(b[0] - a[0], b[1] - a[1]) for a, b in zip(at, at[1:])]
+    kept = [p for i, p in enumerate(every) if i in (0, len(every) - 1) or steps[i] != steps[i + 1]]
+    corners = {(r["threshold"], r["fpr"], r["tpr"]) for r in curves.roc_curve(df, "score", "y").collect()}
+    assert corners == {(None, 0.0, 0.0), *kept} and len(kept) < len(every)
     pr = {(r["threshold"], r["precision"], r["recall"]) for r in curves.precision_recall_curve(df, "score", "y").collect()}
     assert pr == {(None, 1.0, 0.0)} | {(t, tp / (tp + fp), tp / pos) for t, tp, fp, _ in points}
 
@@ -57,7 +63,7 @@ def test_curves_by_key(spark, small_cells):
         mine = [r[:3] for r in rows if r[3] == k]
         got = [r for r in curves.auc(df, "score", "y", ["k"]).collect() if r["k"] == k]
         assert got[0]["auc"] == pytest.approx(model.auc(mine))
-        tops = {r["threshold"] for r in curves.roc_curve(df, "score", "y", ["k"]).collect() if r["k"] == k}
+        tops = {r["threshold"] for r in curves.roc_curve(df, "score", "y", ["k"], drop_intermediate=False).collect() if r["k"] == k}
         assert tops == {None} | {r[1] for r in mine}
         assert [r for r in curves.det_curve(df, "score", "y", ["k"]).collect() if r["k"] == k]
 
