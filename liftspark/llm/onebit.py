@@ -22,8 +22,8 @@ from liftspark.llm.common import stored
 BOUND = 3.0
 #: Indexed rows that a task compares with a block of queries, and queries of a block.
 SHARD_ROWS, QUERY_ROWS = 8192, 256
-#: Exact comparisons at once.
-PAIRS = 1 << 16
+#: Estimates per neighbour wanted that are compared exactly first; exact comparisons at once.
+FIRST, PAIRS = 4, 1 << 14
 
 
 @lru_cache(maxsize=4)
@@ -56,21 +56,33 @@ def bounds(bits: np.ndarray, scalar: np.ndarray, queries: np.ndarray, width: flo
     return estimate - error, estimate + error
 
 
-def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of rows, in double precision; equal rows give equal results."""
-    (x, n), (y, m) = units(a), units(b)
-    return (x * y).sum(axis=1) / (n * m)
+def cosines(a: tuple[np.ndarray, np.ndarray], i: np.ndarray, b: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> np.ndarray:
+    """Of rows ``i`` of ``a`` with rows ``j`` of ``b``, both from ``units``; equal rows give equal results."""
+    out = np.empty(len(i))
+    for at in range(0, len(i), PAIRS):
+        x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+        out[at : at + PAIRS] = (a[0][x] * b[0][y]).sum(axis=1) / (a[1][x] * b[1][y])
+    return out
 
 
 def nearest(ids: np.ndarray, vectors: np.ndarray, bits: np.ndarray, scalar: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """For each query the ``k`` nearest of these vectors that the bounds let through: (query, vec_id, score)."""
+    """For each query the ``k`` nearest of these vectors that the bounds let through: (query, vec_id, score).
+
+    The vectors of the best estimates are compared exactly first. The ``k``-th best of them is what the upper bound of any other must reach.
+    """
     low, high = bounds(bits, scalar, queries)
     own = query_ids[:, None] == ids[None, :]
     low[own] = high[own] = -np.inf
-    kept = min(k, len(ids))
-    at = np.partition(low, len(ids) - kept, axis=1)[:, len(ids) - kept]
-    q, c = np.nonzero((high >= at[:, None]) & ~own)
-    score = np.concatenate([cosines(queries[q[i : i + PAIRS]], vectors[c[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)] or [np.zeros(0)])
+    held, asked = units(vectors), units(queries)
+    first = min(FIRST * k, len(ids))
+    c = np.argpartition(low + high, len(ids) - first, axis=1)[:, len(ids) - first :].ravel()
+    q = np.repeat(np.arange(len(queries)), first)
+    exact = np.where(own[q, c], -np.inf, cosines(asked, q, held, c)).reshape(len(queries), first)
+    least = np.sort(exact, axis=1)[:, max(0, first - k)]
+    kept = high >= least[:, None]
+    kept[q, c] = True  # known exactly already
+    q, c = np.nonzero(kept & ~own)
+    score = cosines(asked, q, held, c)
     order = np.lexsort((ids[c], -score, q))
     q, c, score = q[order], c[order], score[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
