@@ -22,6 +22,12 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.filter("u <> v").union(least.select("u", F.col("m").alias("v")))
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node has one link at most, to a node that has none."""
+    n, nodes = links.agg(F.count("*"), F.count_distinct("u")).first()
+    return n == nodes and links.join(links.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every end of a link in ``links`` (two columns of longs); the root is the component's least node.
 
@@ -32,11 +38,6 @@ def components(links: DataFrame) -> DataFrame:
     ends = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     # stored first, as a round reads its links several times
     current = stored(ends.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), "links").distinct()
-    mark = None
-    while True:
+    while not _all_stars(current):
         current = stored(_small_star(_large_star(current).distinct()).distinct(), "links")
-        now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("u") % 1_000_003)).first()
-        if now == mark or not now[0]:
-            break
-        mark = now
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(current.select("v", "v").distinct())

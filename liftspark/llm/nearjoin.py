@@ -140,7 +140,7 @@ def _verify(threshold: Fraction, depth: int, batches: Iterator[pa.RecordBatch])
     rows: dict[int, tuple[int, bool, np.ndarray]] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
-        _, a, b = group
+        _, a, b, blocks = group
         keys = sorted(rows, key=lambda k: not rows[k][1])  # the nodes of block a first
         left = sum(rows[k][1] for k in keys)
         sets = [rows[k][2] for k in keys]
@@ -179,18 +179,18 @@ def _verify(threshold: Fraction, depth: int, batches: Iterator[pa.RecordBatch])
         roots = ids[[find(i) for i in range(len(keys))]]
         at = np.flatnonzero(texts > 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[at]) for x in (ids, roots, texts.astype(np.int64), docs.astype(np.int64), expected)],
-            names=["key", "root", "text_links", "doc_links", "expected"],
+            [*(pa.array(x[at]) for x in (ids, roots, texts.astype(np.int64), docs.astype(np.int64), expected)), pa.array([blocks == 1] * len(at), pa.bool_())],
+            names=["key", "root", "text_links", "doc_links", "expected", "whole"],
         )
 
     for batch in batches:
         for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            columns = [part.column(c).to_pylist() for c in ("comp", "a", "b", "block", "key", "copies", "shingles")]
-            for comp, a, b, block, key, copies, data in zip(*columns):
-                if group != (comp, a, b):
+            columns = [part.column(c).to_pylist() for c in ("comp", "a", "b", "blocks", "block", "key", "copies", "shingles")]
+            for comp, a, b, blocks, block, key, copies, data in zip(*columns):
+                if group != (comp, a, b, blocks):
                     if group:
                         yield from flush()
-                    group = (comp, a, b)
+                    group = (comp, a, b, blocks)
                     rows.clear()
                 rows[key] = (copies, block == a, np.frombuffer(data, np.uint64))
     if group:
@@ -210,7 +210,10 @@ def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def verified(rows: DataFrame, nodes: DataFrame, links: DataFrame, words: int, threshold: Fraction, depth: int) -> DataFrame:
-    """Exact links of each node with the nodes of its component, by blocks: ``key, root, text_links, doc_links, expected, multi``."""
+    """Exact links of each node with the nodes of its component, by blocks: ``key, root, text_links, doc_links, expected, whole``.
+
+    ``root`` is a node that it is connected with inside the blocks, the same for all so connected; ``whole`` says that they were the whole component.
+    """
     comp = components(links).select(F.col("node").alias("key"), F.col("root").alias("comp"))
     members = stored(nodes.drop("sig").join(comp, "key"), "members")
     sizes = members.groupBy("comp").agg(
@@ -231,7 +234,7 @@ def verified(rows: DataFrame, nodes: DataFrame, links: DataFrame, words: int, th
     found = (
         pairs.repartition("comp", "a", "b")
         .sortWithinPartitions("comp", "a", "b")
-        .mapInArrow(lambda b: _verify(threshold, depth, b), "key long, root long, text_links long, doc_links long, expected double")
+        .mapInArrow(lambda b: _verify(threshold, depth, b), "key long, root long, text_links long, doc_links long, expected double, whole boolean")
     )
     return stored(found, "verified")
 
@@ -269,7 +272,8 @@ def near_duplicates(
         depth -= 1
 
     linked = found.groupBy("key").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
-    roots = components(found.select("key", "root")).withColumnRenamed("node", "key")
+    parts = components(found.filter("not whole").select("key", "root")).withColumnRenamed("node", "key")
+    roots = found.filter("whole").select("key", "root").union(parts)
     labelled = nodes.select("key", "rep", "copies").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     classes = labelled.groupBy("root").agg(F.min("rep").alias("class_id"))
     verdicts = (
