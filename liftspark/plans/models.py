@@ -18,6 +18,7 @@ from liftspark.operators.gain import cumulative_gain
 from liftspark.operators.sampling import balanced_sample, hash_split
 from liftspark.plans.features import gold_pipeline
 from liftspark.plans.registry import query
+from liftspark.plans.sampling import bucket_sql
 from liftspark.plans.tables import JOBS_SQL, TRAIN_END, is_train, jobs, r4, table
 from liftspark.session import checkpointed
 
@@ -151,6 +152,51 @@ def fit_auto(spark, sf_dir):
     return found.select(*[round_half_up(c).alias(c) for c in found.columns])
 
 
+TEST_SIDE = bucket_sql("split", id="jobid") + " >= 9000"
+
+
+def _auto_sides(spark, sf_dir, hash_fn="md5"):
+    df = checkpointed(jobs(spark, sf_dir).drop("assignment_start_dt", "assignment_start_month").hint("rebalance"))
+    return hash_split(df, "jobid", [0.9, 0.1], hash_fn)
+
+
+@query(
+    "auto_propensity",
+    f"WITH {JOBS_SQL} SELECT count(*) AS n_test, true AS are_probabilities, true AS better_than_even FROM jobs WHERE {TEST_SIDE}",
+)
+def auto_propensity(spark, sf_dir):
+    """A propensity task predicts probabilities, judged by the log-loss."""
+    train, test = _auto_sides(spark, sf_dir)
+    config = TrainingSet("jobid", "final_response", "propensity")
+    predicted = checkpointed(models.train_auto(train, config).predict(test))
+    loss = models.evaluate_auto(predicted, config).first()[0]
+    return predicted.agg(
+        F.count("*").alias("n_test"),
+        F.bool_and(F.col("prediction").between(0, 1)).alias("are_probabilities"),
+        F.lit(loss < 0.6932).alias("better_than_even"),
+    )
+
+
+@query(
+    "auto_multiclass",
+    f"""WITH {JOBS_SQL} SELECT count(*) AS n_test, true AS are_classes, true AS scores_agree FROM jobs WHERE {TEST_SIDE}""",
+)
+def auto_multiclass(spark, sf_dir):
+    """A multiclass task predicts one of the classes; its micro-averaged scores are one number."""
+    train, test = (
+        side.withColumn("class", F.array_position(F.array(*map(F.lit, REGIONS)), F.col("region")) - 1).drop("region", "final_response")
+        for side in _auto_sides(spark, sf_dir)
+    )
+    config = TrainingSet("jobid", "class", "multiclassClassification")
+    predicted = checkpointed(models.train_auto(train, config).predict(test))
+    scores = models.evaluate_auto(predicted, config).first()
+    return predicted.agg(
+        F.count("*").alias("n_test"),
+        F.bool_and(F.col("prediction").isin(*range(len(REGIONS)))).alias("are_classes"),
+        F.lit(len(set(scores)) == 1).alias("scores_agree"),
+    )
+
+
 @query("fit_auto_regression")
 def fit_auto_regression(spark, sf_dir):
     """A regression with a date field becomes a time-series task with date parts."""
