@@ -40,6 +40,11 @@ PAIRS, WORDS, META, PART, STATS, VOCABULARY, ASK = range(7)
 BLOB = "kind int, shard long, batch long, data binary"
 
 
+def _codes(counts: np.ndarray) -> np.ndarray:
+    """Quantised log10 of counts; 0 for none."""
+    return np.rint(np.log10(np.maximum(counts, 1)) * STEPS)
+
+
 class Trie:
     """Pair counts: contexts, pointers, successors, quantised log10 counts, over a buffer made by ``build``."""
 
@@ -55,7 +60,7 @@ class Trie:
         new = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(keys) else np.zeros(0, np.int64)
         rank = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(keys))))
         successor = (rank.astype(U64) << U64(HALF)) | (keys & U64((1 << HALF) - 1))
-        codes = np.rint(np.log10(np.maximum(counts, 1)) * STEPS).astype(np.uint16)
+        codes = _codes(counts).astype(np.uint16)
         pointers = np.append(new, len(keys)).astype(U64)
         return joined([EliasFano.encode(context[new]), EliasFano.encode(pointers), EliasFano.encode(successor), codes.tobytes()])
 
@@ -97,12 +102,30 @@ def _unpack_docs(data: memoryview, n: int) -> np.ndarray:
     return raw[1 : 1 + n].astype(np.int32) | high[:n].astype(np.int32) << 8
 
 
-def _by_shard(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(shard, kind="stable")
-    cut = np.searchsorted(shard[order], np.arange(shards + 1))
-    sorted_columns = [c[order] for c in columns]
-    for s in np.flatnonzero(np.diff(cut)).tolist():
-        yield s, *(c[cut[s] : cut[s + 1]] for c in sorted_columns)
+def _slices(shard: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """The columns of each shard; shards ascend."""
+    cut = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(shard)]):
+        yield int(shard[a]), *(c[a:b] for c in columns)
+
+
+def _spread(keys: np.ndarray) -> np.ndarray:
+    """Pair keys with successors in front: those are hashes of the whole pair, so ranges of them are even. Its own inverse."""
+    return (keys & U64((1 << HALF) - 1)) << U64(HALF) | keys >> U64(HALF)
+
+
+def _range(x: np.ndarray, shards: int) -> np.ndarray:
+    """The shard, a range of 56-bit numbers, that each belongs to."""
+    return ((x >> U64(WORD_BITS - HALF)) * U64(shards) >> U64(HALF)).astype(np.int64)
+
+
+def _from_least(values: np.ndarray) -> list[bytes]:
+    """Sorted numbers of one range, coded from the least of them on."""
+    return [values[:1].tobytes(), EliasFano.encode(values - values[0])]
+
+
+def _values(least: memoryview, coded: memoryview) -> np.ndarray:
+    return EliasFano(coded).values() + np.frombuffer(least, U64)
 
 
 def _blobs(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
@@ -141,18 +164,19 @@ def _send(pair_shards: int, word_shards: int, batches: Iterator[pa.RecordBatch])
         key = ((context >> U64(WORD_BITS - HALF)) << U64(HALF)) | half
         batch, count, rows = base + count, count + 1, []
         rows.append((META, int(batch % pair_shards), batch, pa_bytes(part, np.bincount(owner, minlength=texts.n), train)))
+        key = _spread(key)
         order = np.argsort(key, kind="stable")
         key, w, v, d = key[order], word[order], context[order], owner[order]
-        for shard, k, w, v, d in _by_shard((mix(key) % U64(pair_shards)).astype(np.int64), pair_shards, key, w, v, d):
+        for shard, k, w, v, d in _slices(_range(key, pair_shards), key, w, v, d):
             out = ~train[d]  # of other texts, what to ask the words' shards for
             asks = [np.ascontiguousarray(x[out].view(np.uint8).reshape(-1, 8)[:, :7]).tobytes() for x in (v, w)]
-            rows.append((PAIRS, shard, batch, joined([EliasFano.encode(k), _pack_docs(d), np.packbits(~out).tobytes(), *asks])))
+            rows.append((PAIRS, shard, batch, joined([*_from_least(k), _pack_docs(d), np.packbits(~out).tobytes(), *asks])))
         order = np.argsort(word, kind="stable")
         w, d = word[order], owner[order]
-        for shard, w, d in _by_shard((mix(w) % U64(word_shards)).astype(np.int64), word_shards, w, d):
+        for shard, w, d in _slices(_range(w, word_shards), w, d):
             new = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
             pointers = EliasFano.encode(np.append(new, len(w)).astype(U64))
-            rows.append((WORDS, shard, batch, joined([EliasFano.encode(w[new]), pointers, _pack_docs(d), np.packbits(train).tobytes()])))
+            rows.append((WORDS, shard, batch, joined([*_from_least(w[new]), pointers, _pack_docs(d), np.packbits(train).tobytes()])))
         for i in range(0, len(rows), 64):
             yield _blobs(rows[i : i + 64])
 
@@ -167,26 +191,42 @@ def pa_bytes(part: pa.RecordBatch, n_tokens: np.ndarray, train: np.ndarray) -> b
 
 
 #: What shards return for a document: quantised log counts of its pairs, pairs not seen in training, log10(c + 0.1) of its words,
-#: words known, log10 of the counts of contexts of seen pairs, log10 of backed-off words' counts, backed-off words that are known.
+#: words known, quantised logs of the counts of contexts of seen pairs and of backed-off words, backed-off words that are known.
 CODES, UNSEEN, BASE, KNOWN, CONTEXT, BACKED, BACKED_KNOWN = range(7)
 COLUMNS = 7
 
 
+def _narrow(values: np.ndarray) -> tuple[int, bytes]:
+    """Numbers in the least width that holds them, and which that is."""
+    if not np.issubdtype(values.dtype, np.integer):
+        return 4, values.astype(np.float64).tobytes()
+    width = next(i for i, t in enumerate(_WIDTHS) if not len(values) or values.max() <= np.iinfo(t).max)
+    return width, values.astype(_WIDTHS[width]).tobytes()
+
+
+_WIDTHS = (np.uint8, np.uint16, np.uint32, np.int64)
+_READ = (*_WIDTHS, np.float64)
+
+
 def _sums(columns: dict[int, np.ndarray]) -> bytes:
-    """For each column the documents that have something, and what: whole numbers in 4 bytes, others in 8."""
-    parts = [bytes(columns)]
-    for values in columns.values():
+    """For each column the documents that have something, as steps from one to the next, and what. Numbers of 0 and more."""
+    head, parts = [], []
+    for name, values in columns.items():
         some = np.flatnonzero(values)
-        whole = np.issubdtype(values.dtype, np.integer)
-        parts += [bytes([whole]), some.astype(np.uint16).tobytes(), values[some].astype(np.int32 if whole else np.float64).tobytes()]
-    return joined(parts)
+        step, steps = _narrow(np.diff(some, prepend=0))
+        kind, held = _narrow(values[some])
+        head += [name, step, kind]
+        parts += [steps, held]
+    return joined([bytes(head), *parts])
 
 
 def _add_sums(data: bytes, to: np.ndarray) -> None:
-    names, *parts = parted(data)
-    for i, name in enumerate(bytes(names)):
-        whole, doc, values = parts[3 * i : 3 * i + 3]
-        to[name, np.frombuffer(doc, np.uint16)] += np.frombuffer(values, np.int32 if bytes(whole) == b"\1" else np.float64)
+    head, *parts = parted(data)
+    head = bytes(head)
+    for i in range(0, len(head), 3):
+        name, step, kind = head[i : i + 3]
+        steps, held = parts[2 * i // 3 : 2 * i // 3 + 2]
+        to[name, np.cumsum(np.frombuffer(steps, _READ[step]), dtype=np.int64)] += np.frombuffer(held, _READ[kind])
 
 
 def _pack_counts(counts: np.ndarray) -> list[bytes]:
@@ -210,12 +250,12 @@ def _seven(data: memoryview) -> np.ndarray:
 
 def _pair_shard(blobs: list[tuple[int, bytes]], word_shards: int) -> Iterator[tuple[int, int, int, bytes]]:
     loaded = [(batch, parted(data)) for batch, data in blobs]
-    keys = [EliasFano(p[0]).values() for _, p in loaded]
+    keys = [_spread(_values(*p[:2])) for _, p in loaded]
     sizes = [len(k) for k in keys]
     every, which = np.unique(np.concatenate(keys), return_inverse=True)
     which = which.astype(np.int32)
     del keys
-    train = np.concatenate([np.unpackbits(np.frombuffer(p[2], np.uint8), count=n).astype(bool) for (_, p), n in zip(loaded, sizes)])
+    train = np.concatenate([np.unpackbits(np.frombuffer(p[3], np.uint8), count=n).astype(bool) for (_, p), n in zip(loaded, sizes)])
     counts = np.bincount(which[train], minlength=len(every))
     known = counts > 0
     trie = Trie(Trie.build(every[known], counts[known]))
@@ -224,31 +264,33 @@ def _pair_shard(blobs: list[tuple[int, bytes]], word_shards: int) -> Iterator[tu
     del every, which, counts, known, trie
     at = 0
     for (batch, p), n in zip(loaded, sizes):
-        c, t, doc = code[at : at + n], train[at : at + n], _unpack_docs(p[1], n)
+        c, t, doc = code[at : at + n], train[at : at + n], _unpack_docs(p[2], n)
         at += n
         seen = c >= 0
         yield PART, batch, batch, _sums({CODES: np.bincount(doc[seen], c[seen]).astype(np.int64)})
         if not t.all():
-            v, w = _seven(p[3]), _seven(p[4])
+            v, w = _seven(p[4]), _seven(p[5])
             doc, seen = doc[~t], seen[~t]
             word = np.where(seen, v, w)
-            for shard, word, kind, doc in _by_shard((mix(word) % U64(word_shards)).astype(np.int64), word_shards, word, seen, doc):
+            order = np.argsort(word, kind="stable")
+            word, seen, doc = word[order], seen[order], doc[order]
+            for shard, word, kind, doc in _slices(_range(word, word_shards), word, seen, doc):
                 yield ASK, shard, batch, joined([np.ascontiguousarray(word.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes(), np.packbits(kind).tobytes(), _pack_docs(doc)])
 
 
 def _word_shard(blobs: list[tuple[int, bytes]], shard: int) -> Iterator[tuple[int, int, int, bytes]]:
     loaded = [(batch, parted(data)) for batch, data in blobs]
-    words = [EliasFano(p[0]).values() for _, p in loaded]
-    uses = [EliasFano(p[1]).values().astype(np.int64) for _, p in loaded]
-    docs = [_unpack_docs(p[2], int(u[-1])) for (_, p), u in zip(loaded, uses)]
-    trains = [np.unpackbits(np.frombuffer(p[3], np.uint8)).astype(bool) for _, p in loaded]
+    words = [_values(*p[:2]) for _, p in loaded]
+    uses = [EliasFano(p[2]).values().astype(np.int64) for _, p in loaded]
+    docs = [_unpack_docs(p[3], int(u[-1])) for (_, p), u in zip(loaded, uses)]
+    trains = [np.unpackbits(np.frombuffer(p[4], np.uint8)).astype(bool) for _, p in loaded]
     in_train = np.concatenate([np.add.reduceat(t[d].astype(np.int64), u[:-1]) for t, d, u in zip(trains, docs, uses)])
     every, which = np.unique(np.concatenate(words), return_inverse=True)
     counts = np.bincount(which, in_train, len(every)).astype(np.int64)
     yield STATS, 0, 0, joined([np.array([counts.sum(), (counts > 0).sum(), (counts == 1).sum(), 0], np.int64).tobytes()])
     held = counts > 0
     yield VOCABULARY, shard, -1, joined([EliasFano.encode(every[held]), *_pack_counts(counts[held])])
-    base, plain = np.log10(counts + 0.1), np.log10(np.maximum(counts, 1))
+    base, plain = np.log10(counts + 0.1), _codes(counts)
     at = 0
     for (batch, _), w, u, doc, train in zip(loaded, words, uses, docs, trains):
         of = np.repeat(which[at : at + len(w)], np.diff(u))
@@ -257,7 +299,7 @@ def _word_shard(blobs: list[tuple[int, bytes]], shard: int) -> Iterator[tuple[in
         yield PART, batch, batch, _sums({
             BASE: np.bincount(doc, base[of], m),
             KNOWN: np.bincount(doc[~t & (counts[of] > 0)], minlength=m),  # in training all words are known
-            CONTEXT: np.bincount(doc[t], plain[of[t]], m),  # and each is the context of a seen pair once
+            CONTEXT: np.bincount(doc[t], plain[of[t]], m).astype(np.int64),  # and each is the context of a seen pair once
         })
 
 
@@ -340,12 +382,12 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.flatnonzero(at < held[1].n)
             some = some[held[1].get(at[some]) == word[some]]
             count[some] = held[2][at[some]]
-        m, plain = int(doc.max()) + 1, np.log10(np.maximum(count, 1))
+        m, plain = int(doc.max()) + 1, _codes(count)
         known = ~context & (count > 0)
         return PART, of, of, _sums({
             UNSEEN: np.bincount(doc[~context], minlength=m),
-            CONTEXT: np.bincount(doc[context], plain[context], m),
-            BACKED: np.bincount(doc[known], plain[known], m),
+            CONTEXT: np.bincount(doc[context], plain[context], m).astype(np.int64),
+            BACKED: np.bincount(doc[known], plain[known], m).astype(np.int64),
             BACKED_KNOWN: np.bincount(doc[known], minlength=m),
         })
 
@@ -428,7 +470,7 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     log = [float(np.log10(x)) for x in (1 - g, g, (1 - u) / max(n, 1), u, n + 0.1 * (v + 1))]
     c = [F.col(f"s{i}") for i in range(COLUMNS)]
     seen, unknown = F.col("n_tokens") - c[UNSEEN], c[UNSEEN] - c[BACKED_KNOWN]
-    score = c[CODES] / STEPS - c[CONTEXT] + seen * log[0] + c[UNSEEN] * log[1] + c[BACKED] + c[BACKED_KNOWN] * log[2] + unknown * log[3]
+    score = (c[CODES] - c[CONTEXT] + c[BACKED]) / STEPS + seen * log[0] + c[UNSEEN] * log[1] + c[BACKED_KNOWN] * log[2] + unknown * log[3]
     return parts.filter("n_tokens is not null").select(
         "doc_id",
         (~F.col("train")).alias("held_out"),
