@@ -9,6 +9,7 @@ them. Restored texts are scored by how toxic the labelled texts are that hold th
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,8 @@ MIN_TOXIC, PRIOR_TEXTS = 3, 5.0
 BEGINNINGS = (4, 5, 6)
 #: Less telling words don't add up.
 STRONG = 0.55
-#: Characters of a disguised word; longer strings (keys, links) are taken as they are.
-LONGEST = 48
+#: Characters of a string that are read at once, and those that the next piece of a longer string repeats.
+PIECE, OVERLAP = 400, 48
 THRESHOLD = 0.7
 
 #: Letters that digits and signs stand for.
@@ -40,6 +41,8 @@ LEET = {
 #: Log chances: of a stand-in for one of its letters, of a sign that means itself, of a separator inside a word.
 STAND_IN, ITSELF, JOINED = math.log(0.3), math.log(0.02), math.log(0.7)
 SPLIT = math.log(0.3)
+#: Log chance that a sign at an end of a word is punctuation.
+ENDS, PUNCTUATION = "!|*", math.log(0.5)
 
 SYMBOLS = 28  # 0 a word's edge, 1 to 26 letters, 27 any other letter
 ORDER = 4
@@ -49,7 +52,7 @@ _code[128:] = 27
 _LETTER = (_code > 0).astype(np.uint8)
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
-_DIGIT, _FRONT, _INNER = (np.isin(np.arange(256), list(s)) for s in (b"0123456789", b"@$", b"!|+*"))
+_DIGIT, _FRONT, _INNER, _STAND_IN = (np.isin(np.arange(256), list(s)) for s in (b"0123456789", b"@$", b"!|+", "".join(LEET).encode()))
 _SEPARATOR = np.isin(np.arange(256), list(b" .-_*/"))
 
 
@@ -96,6 +99,7 @@ def _symbol(c: str) -> int:
 def lattice(word: str, spaced: bool) -> list[list[tuple[str, float]]]:
     """For each step the strings it may stand for, with log chances."""
     steps: list[list[tuple[str, float]]] = []
+    front, back = len(word) - len(word.lstrip(ENDS)), len(word.rstrip(ENDS))
     i = 0
     while i < len(word):
         c = word[i]
@@ -105,7 +109,8 @@ def lattice(word: str, spaced: bool) -> list[list[tuple[str, float]]]:
         if spaced and _SEPARATOR[min(ord(c), 255)]:
             steps.append([("", JOINED), (" ", SPLIT)])
         elif c in LEET:
-            steps.extend([[*((x, STAND_IN) for x in LEET[c]), (c, ITSELF)]] * (j - i))
+            end = [("", PUNCTUATION)] if not spaced and (i < front or i >= back) else []
+            steps.extend([[*((x, STAND_IN) for x in LEET[c]), (c, ITSELF), *end]] * (j - i))
         elif c.isalpha() and j - i > 2:
             steps.append([(c, math.log(0.6)), (c * 2, math.log(0.35)), (c * (j - i), math.log(0.05))])
         else:
@@ -140,7 +145,7 @@ def disguised(texts: Texts) -> tuple[list[str], list[bool], np.ndarray]:
     data, n = texts.data, len(texts.data)
     if not n:
         return [], [], np.zeros(0, np.int64)
-    letter, digit = _code[data] > 0, _DIGIT[data]
+    letter = _code[data] > 0
     edge = np.zeros(n + 1, bool)
     edge[texts.start] = True
 
@@ -154,8 +159,6 @@ def disguised(texts: Texts) -> tuple[list[str], list[bool], np.ndarray]:
         out[:-1] = mask[1:]
         return out & ~edge[1:]
 
-    left, right = before(letter), after(letter)
-    sign = (digit & (left | right)) | (_FRONT[data] & right) | (_INNER[data] & left & right)
     small = _lower[data]
     same = np.zeros(n, bool)
     same[1:] = small[1:] == small[:-1]
@@ -163,15 +166,17 @@ def disguised(texts: Texts) -> tuple[list[str], list[bool], np.ndarray]:
     triple = same & before(same)
     s, e, first = texts.words()
     doc = owners(first)
-    hit = np.unique(np.searchsorted(s, np.flatnonzero(sign | triple), "right") - 1)
+    hit = np.unique(np.searchsorted(s, np.flatnonzero(_STAND_IN[data] | triple), "right") - 1)
+    letters = np.append(0, np.cumsum(letter))
     out, spaced, where = [], [], []
-    for i in hit[(e - s)[hit] <= LONGEST].tolist():
+    for i in hit[letters[e[hit]] > letters[s[hit]]].tolist():
         out.append(data[s[i] : e[i]].tobytes().decode())
         spaced.append(False)
         where.append(int(doc[i]))
-    # single letters (or stand-ins) with single separators between
-    mark = (letter & (data < 128)) | digit | _FRONT[data]
-    alone = np.flatnonzero(mark & ~before(mark) & ~after(mark))
+    # single letters (or stand-ins) with single separators between; signs that may end a word only between separators
+    mark = (letter & (data < 128)) | _DIGIT[data] | _FRONT[data]
+    filled = ~_SEPARATOR[data]
+    alone = np.flatnonzero((mark & ~before(mark) & ~after(mark)) | (_INNER[data] & ~before(filled) & ~after(filled)))
     if len(alone):
         joined = np.zeros(len(alone), bool)
         joined[1:] = (alone[1:] - alone[:-1] == 2) & _SEPARATOR[data[alone[1:] - 1]]
@@ -180,13 +185,17 @@ def disguised(texts: Texts) -> tuple[list[str], list[bool], np.ndarray]:
         b = np.append(a[1:], len(alone))
         for i, j in zip(a[b - a > 2].tolist(), b[b - a > 2].tolist()):
             piece = data[alone[i] : alone[j - 1] + 1]
-            if int((_code[piece] > 0).sum()) > 2:
+            if (_code[piece] > 0).any():
                 out.append(piece.tobytes().decode("utf-8", "replace"))
                 spaced.append(True)
                 where.append(int(np.searchsorted(texts.start, alone[i], "right") - 1))
     return out, spaced, np.array(where, np.int64)
 
 
+#: More than three of one letter in a row.
+DRAWN = re.compile(r"([^\W\d_])\1{3,}")
+
+
 class Restorer:
     """Restores disguised strings and keeps what it has read."""
 
@@ -195,13 +204,15 @@ class Restorer:
         self.read: dict[tuple[str, bool], str] = {}
 
     def __call__(self, word: str, spaced: bool) -> str:
-        word = word.lower().strip(".,;:?!\"'()[]{}<>#%&*|-_=~/\\")
+        word = word.lower().strip(".,;:?\"'()[]{}<>#%&-_=~/\\")
         key = word, spaced
         if key not in self.read:
             if len(self.read) > 200_000:
                 self.read.clear()
-            # long spaced passages are read piece by piece, so that time stays linear
-            self.read[key] = " ".join(decode(word[i : i + 400], self.model, spaced) for i in range(0, len(word), 400))
+            # long strings are read in pieces that overlap, so that time stays linear and a word lies whole in one of them
+            if len(word) > PIECE:
+                word = DRAWN.sub(r"\1\1\1", word)
+            self.read[key] = " ".join(decode(word[i : i + PIECE], self.model, spaced) for i in range(0, max(1, len(word) - OVERLAP), PIECE - OVERLAP))
         return self.read[key]
 
 

@@ -1,9 +1,11 @@
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
-from liftspark.llm.toxicity import decode, language_model, toxicity
+from liftspark.llm.toxicity import Restorer, decode, disguised, language_model, toxicity
+from liftspark.llm.words import Texts
 from tests.llm.conftest import SCHEMA, prose
 
 BAD = ["vermalon", "drickspul", "hogfrent", "stullweb"]
@@ -58,6 +60,23 @@ def test_viterbi(corpus):
     assert decode("", model) == "" and decode("2024", model).isdigit() is not None
 
 
+def test_every_disguise_is_read(corpus):
+    """Signs at the ends and in runs, spaced leetspeak, very long words; plain words keep their reading."""
+    restore = Restorer(language_model(corpus[1]))
+
+    def read(text):
+        words, spaced, _ = disguised(Texts(pa.array(["", text, "a"])))
+        return " ".join(restore(w, x) for w, x in zip(words, spaced)).replace("-", " ").replace("_", " ").split()
+
+    for text in (
+        "dr!ck$pul", "$tu||web", "$ t u 1 1 w 3 b", "h 0 g f r 3 n +", "5 t u ! ! w e b", "drickspu!", "$tullweb!!", "vermal" + "o" * 60 + "n", "verma" + "l" * 900 + "on",
+        "-".join(["nuberdan"] * 8 + ["v3rm4l0n"]), "_".join(["nuberdan"] * 100 + ["h0gfr3nt"] + ["nuberdan"] * 100),
+    ):
+        assert set(read(text)) & set(BAD), (text, read(text)[-5:])
+    assert read("nuberdan!")[0] == "nuberdan" and read("**nuberdan**")[0] == "nuberdan" and read("nuberdan! ")[0] == "nuberdan"
+    assert read("1 2 3 4 ! 5") == [] and read("2024 $ 5.00") == []
+
+
 def test_awkward(awkward, awkward_rows, labels):
     rows = toxicity(awkward, labels).collect()
     assert len(rows) == len(awkward_rows) and set(rows[0].asDict()) == {"doc_id", "held_out", "score", "predicted"}
