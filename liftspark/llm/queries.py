@@ -17,6 +17,7 @@ from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
 from liftspark.llm.toxicity import toxicity
 from liftspark.llm.trielm import score_texts
+from liftspark.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +84,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
