@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftspark.llm import mixture
+from liftspark.llm import importance, mixture
 from liftspark.llm.bfd import pack_documents
 from liftspark.llm.chains import repeated_passages
 from liftspark.llm.drr import pack_mixture
@@ -15,6 +15,7 @@ from liftspark.llm.nearjoin import near_duplicates
 from liftspark.llm.onebit import index, neighbours
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.shards import shard_documents
+from liftspark.llm.simhash import near_copies
 from liftspark.llm.toxicity import toxicity
 from liftspark.llm.trielm import score_texts
 from liftspark.llm.whitening import whitened
@@ -89,3 +90,17 @@ def op5_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op12_importance_resampling"] = importance.SQL
+
+
+@query
+def op13_simhash_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"))

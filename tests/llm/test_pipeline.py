@@ -77,6 +77,6 @@ def test_entry_has_all(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
     assert names["pipeline"](spark, SF).columns == pipeline.run(spark, SF).columns
