@@ -1,7 +1,13 @@
-"""Run log kept as two tables: one row per run, and one per key and step."""
+"""Run log kept as two tables: one row per run, and one per key and step.
+
+Every append is an attempt with an id of its own. The keys of an attempt count once its runs are listed, so what a lost driver
+left half-written is not read; where attempts give one key of a run, the last one does.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -10,6 +16,7 @@ from pyspark.sql import functions as F
 
 RUNS_SCHEMA = "run_id string, run_name string, status string, start_time timestamp"
 KV_SCHEMA = "run_id string, key string, step int, value double, text string, kind string"
+ATTEMPT_SCHEMA = "attempt string, logged_at bigint"
 
 # Short names of the model classes on a leaderboard.
 MODEL_CODES = {
@@ -42,18 +49,29 @@ def log_runs(spark: SparkSession, path: str, runs: Sequence[Mapping]) -> None:
 
 
 def append_log(path: str, runs: DataFrame, kv: DataFrame) -> None:
-    """Append frames to the log; the keys first, so that a listed run is complete."""
-    kv.write.mode("append").partitionBy("kind").parquet(f"{path}/run_kv")
-    runs.write.mode("append").parquet(f"{path}/runs")
+    """Append frames to the log as one attempt; the keys first, so that a listed run is complete."""
+    attempt = {"attempt": F.lit(uuid.uuid4().hex), "logged_at": F.lit(time.time_ns())}
+    kv.withColumns(attempt).write.mode("append").partitionBy("kind").parquet(f"{path}/run_kv")
+    runs.withColumns(attempt).write.mode("append").parquet(f"{path}/runs")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was logged there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/runs")
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Runs and keys. A run that was appended several times is listed once, as it was last started."""
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(f"{path}/runs")
-    rest = [c for c in runs.columns if c not in ("run_id", "start_time")]
-    last = F.max(F.struct("start_time", *rest)).alias("last")
-    once = runs.groupBy("run_id").agg(last).select("run_id", "last.*").select(*runs.columns)
-    return once, spark.read.schema(KV_SCHEMA).parquet(f"{path}/run_kv").distinct()
+    """Runs and keys of the complete attempts. A run is listed once, as it was last started; a key and step once, as last logged."""
+    runs = spark.read.schema(f"{RUNS_SCHEMA}, {ATTEMPT_SCHEMA}").parquet(f"{path}/runs")
+    names = [c.split()[0] for c in RUNS_SCHEMA.split(", ")]
+    last = F.max(F.struct("start_time", "logged_at", *names[1:-1])).alias("last")
+    once = runs.groupBy("run_id").agg(last).select("run_id", "last.*").select(*names)
+    kv = spark.read.schema(f"{KV_SCHEMA}, {ATTEMPT_SCHEMA}").parquet(f"{path}/run_kv")
+    complete = kv.join(runs.select("run_id", "attempt").distinct(), ["run_id", "attempt"], "left_semi")
+    value = F.max_by(F.struct("value", "text"), F.struct("logged_at", "attempt")).alias("v")
+    newest = complete.groupBy("run_id", "key", "step", "kind").agg(value)
+    return once, newest.select("run_id", "key", "step", "v.value", "v.text", "kind")
 
 
 def runs_wide(

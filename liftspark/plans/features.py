@@ -6,6 +6,7 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import functions as F
 
 from liftspark.functions.columns import flatten_vector, round_half_up, rounded
+from liftspark.operators import encoding
 from liftspark.operators import features as FE
 from liftspark.plans.registry import query
 from liftspark.plans.tables import JOBS_SQL, TRAIN_END, is_train, jobs, r4, table
@@ -172,3 +173,23 @@ def auto_features(spark, sf_dir):
     )
     fitted = FE.AutoFeatures(config).fit(df.filter(is_train()))
     return fitted.transform(df.filter(~is_train()))
+
+
+@query(
+    "one_hot_sparse",
+    """WITH rows AS (SELECT o_orderkey, o_custkey::VARCHAR AS customer, o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders),
+      a AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS at FROM (SELECT DISTINCT customer FROM rows)),
+      b AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS at FROM (SELECT DISTINCT o_orderpriority FROM rows)),
+      c AS (SELECT status, row_number() OVER (ORDER BY status) - 1 AS at FROM (SELECT DISTINCT status FROM rows WHERE status IS NOT NULL)),
+      w AS (SELECT (SELECT count(*) FROM a) AS na, (SELECT count(*) FROM b) AS nb, (SELECT count(*) FROM c) AS nc)
+    SELECT o_orderkey, na + nb + nc AS width, concat_ws(',', a.at, na + b.at, na + nb + c.at) AS ones
+    FROM rows JOIN a USING (customer) JOIN b USING (o_orderpriority) LEFT JOIN c USING (status), w""",
+)
+def one_hot_sparse(spark, sf_dir):
+    """One indicator per customer, priority and status; a missing status has none."""
+    orders = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    rows = orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority", status.alias("status"))
+    fitted = encoding.fit_categories(rows, ["customer", "o_orderpriority", "status"])
+    encoded = encoding.one_hot_sparse(rows, fitted)
+    return encoded.select("o_orderkey", F.lit(fitted.width).cast("long").alias("width"), F.array_join("indices", ",").alias("ones"))

@@ -125,14 +125,6 @@ def fit_svm_separable(spark, sf_dir):
     return predicted.agg(F.count("*").alias("n"), F.count_if(F.col("predict_int") != F.col("final_response")).alias("errors"))
 
 
-@query("fit_expert")
-def fit_expert(spark, sf_dir):
-    train, test = gold(spark, sf_dir)
-    # the expert default of 650 rounds is for a cluster; the steps grow in turn
-    estimator = models.expert_classifier("normalized", maxIter=20, stepSize=0.1, maxDepth=5)
-    return evaluated(spark, "expert", estimator.fit(train), test)
-
-
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     train, _ = gold(spark, sf_dir)

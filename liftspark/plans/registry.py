@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def load_all() -> None:
-    from liftspark.plans import aggregates, columns, features, lift, models, runs, sampling, scans  # noqa: F401
+    from liftspark.plans import aggregates, columns, features, lift, models, runs, sampling, scans, search  # noqa: F401

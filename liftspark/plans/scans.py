@@ -172,6 +172,38 @@ def snapshot_publish(spark, sf_dir):
     return snapshots.read_snapshot(spark, path)
 
 
+def _three_versions(spark, sf_dir):
+    """Jobs of one region, then of all, then responders only, each upon the last; the second by a publisher who lost a number to another."""
+    path, df = scratch_path(spark, "snapshots"), jobs(spark, sf_dir).select("jobid", "region", "competitor_price", "final_response")
+    first = snapshots.publish_snapshot(df.filter("region = 'ASIA'"), path, expected=None)
+    late = snapshots.stage_snapshot(df.filter("final_response = 1"), path)
+    second = snapshots.publish_snapshot(df, path, expected=first)
+    try:
+        snapshots.commit(spark, path, "main", late, expected=first)
+    except snapshots.CommitConflict:
+        snapshots.commit(spark, path, "main", late, "append", expected=second)
+    return path
+
+
+@query(
+    "snapshot_history",
+    f"""WITH {JOBS_SQL} SELECT 1::BIGINT AS version, NULL::BIGINT AS parent, 'replace' AS operation, count(*) AS n FROM jobs WHERE region = 'ASIA'
+      UNION ALL SELECT 2, 1, 'replace', count(*) FROM jobs UNION ALL SELECT 3, 2, 'append', count(*) FROM jobs WHERE final_response = 1""",
+)
+def snapshot_history(spark, sf_dir):
+    """The versions of a table that two publishers wrote, with the rows that each holds."""
+    path = _three_versions(spark, sf_dir)
+    counts = [(v, snapshots.read_snapshot(spark, path, version=v).count()) for v in (1, 2, 3)]
+    known = snapshots.history(spark, path).select("version", "parent", "operation")
+    return known.join(spark.createDataFrame(counts, "version bigint, n bigint"), "version")
+
+
+@query("snapshot_as_of", f"WITH {JOBS_SQL} SELECT jobid, region, competitor_price, final_response FROM jobs WHERE region = 'ASIA'")
+def snapshot_as_of(spark, sf_dir):
+    """The rows as they were at the first version."""
+    return snapshots.read_snapshot(spark, _three_versions(spark, sf_dir), version=1)
+
+
 @query("model_roundtrip", "SELECT count(*) AS n_rows, cast(0 AS BIGINT) AS n_changed FROM orders")
 def model_roundtrip(spark, sf_dir):
     """A saved feature pipeline transforms every row as it did before."""
