@@ -4,7 +4,8 @@ Documents with equal shingle sets are one node. Each tree of the forest orders n
 nodes that share a prefix hang from one trie node. All with a common prefix are linked to the least of them, so a
 bucket of any size gives as many links as members, and the components of these links hold every candidate pair. Inside
 a component, Jaccard similarities are exact: counted block against block, never written out as pairs. Prefixes are
-shortened until the recall, estimated from the similarities found, reaches the target.
+shortened until the recall, estimated from the similarities found, reaches the target; where nothing is found, until a pair
+at the threshold would be found with that probability.
 """
 
 from __future__ import annotations
@@ -267,7 +268,7 @@ def near_duplicates(
     while True:
         found = verified(rows, nodes, candidate_links(nodes, depth), words, limit, depth)
         links, expected = found.agg(F.sum("text_links"), F.sum("expected")).first()
-        if depth == 1 or not links or links >= target_recall * expected:
+        if depth == 1 or (links >= target_recall * expected if links else detection(float(limit), depth) >= target_recall):
             break
         depth -= 1
 

@@ -1,5 +1,6 @@
 import random
 import re
+from fractions import Fraction
 from itertools import combinations
 
 import pytest
@@ -15,7 +16,7 @@ def sets_of(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute(rows):
+def brute(rows, threshold=Fraction(4, 5)):
     """(doc_id, class, links, links with other sets) of each row; ids unique."""
     sets = {i: sets_of(t) for i, t in rows}
     root = {i: i for i in sets}
@@ -29,7 +30,7 @@ def brute(rows):
     for i, j in combinations(sorted(sets), 2):
         a, b = sets[i], sets[j]
         n = len(a & b)
-        if n and 10 * n >= 8 * (len(a) + len(b) - n):
+        if n and n >= threshold * (len(a) + len(b) - n):
             links[i] += 1
             links[j] += 1
             if a != b:
@@ -98,6 +99,22 @@ def test_detection_and_depth():
     assert nearjoin.detection(0.9, 9) > nearjoin.detection(0.8, 9) > nearjoin.detection(0.8, 10)
 
 
+@pytest.mark.parametrize(("threshold", "swaps"), [("0.2", 42), ("0.5", 14)])
+def test_low_thresholds(spark, threshold, swaps):
+    """Pairs near a low threshold are found: depths shorten although nothing was found at first."""
+    rng = random.Random(int(float(threshold) * 10))
+    rows = []
+    for _ in range(40):
+        text = prose(rng, 200)
+        rows += [text, edited(rng, text, swaps)]
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: r.n_links for r in near_duplicates(docs, threshold=threshold, target_recall=0.99).collect()}
+    want = {i: n for i, _, n, _ in brute(rows, Fraction(threshold))}
+    assert sum(want.values()) >= 60 and sum(got.values()) >= 0.97 * sum(want.values())
+    assert all(got[i] <= n for i, n in want.items())
+
+
 def test_prefixes_are_shortened(spark, monkeypatch):
     """From a depth at which little is found, the search goes on until the target."""
     monkeypatch.setattr(nearjoin, "DEPTH", 60)

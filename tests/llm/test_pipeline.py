@@ -1,15 +1,18 @@
 """The pipeline on the smallest tables, each stage against what it must do to its own input."""
 
 import importlib
+import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from liftspark.llm.chains import repeated_passages
 from liftspark.llm.common import stored
 from liftspark.llm.quality import quality_verdicts
 from liftspark.llm.tokens import Encoder, default_vocabulary
 from tests.llm import test_chains, test_nearjoin
+from tests.llm.conftest import SCHEMA, prose
 from tests.llm.test_mixture_shards import targets
 
 SF = "/root/testdata/sf0.001"
@@ -73,6 +76,33 @@ def test_pack(stages):
     assert stages[5].groupBy().sum("length").first()[0] == want
 
 
+def test_one_row_of_each_group(spark):
+    """Rows go, not ids: a unique text of a repeated id stays, and of repeated rows, null ids too, one stays."""
+    rng = random.Random(12)
+    a, b, c, d, e = (prose(rng, 80) for _ in range(5))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, d), (None, d), (None, e), (9, e + " end"), (4, None), (4, None), (5, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA).withColumn("row", F.lit("clash")).repartition(4)
+    out = pipeline.one_of_each_group(spark, docs, SF)
+    assert out.dtypes == docs.dtypes
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (None, d), (9, e + " end"), (4, None), (4, None), (5, ""), (None, None)], key=str)
+
+
+def test_all_stages_take_awkward_rows(spark, awkward, nothing):
+    """Nulls in any column, empty and long texts, repeated rows, names that clash, and an empty table."""
+    for docs in (awkward, nothing):
+        now = docs
+        for name, stage in pipeline.STAGES:
+            now = stored(stage(spark, now, SF), name)
+            if name != "pack":
+                assert now.columns == docs.columns
+        assert (now.count() > 0) == (docs is awkward)
+    kept = pipeline.quality_rules(spark, awkward, SF)
+    one = stored(pipeline.one_of_each_group(spark, kept, SF), "one")
+    texts = [r.text for r in one.collect()]
+    assert len(texts) == len(set(texts)) > 5 and {r.doc_id for r in one.collect()} <= {r.doc_id for r in kept.collect()}
+
+
 def test_entry_has_all(spark):
     import __spark_entry__ as entry
 
