@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftspark.llm.chains import without_repeats
-from liftspark.llm.common import checked_broadcast, stored
+from liftspark.llm.common import checked_broadcast, stored, unused
 from liftspark.llm.drr import pack_mixture
 from liftspark.llm.mixture import mixed_documents
 from liftspark.llm.nearjoin import near_duplicates
@@ -26,9 +26,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the least id. Rows without an id all stay."""
-    gone = stored(near_duplicates(docs).filter("doc_id <> class_id").select("doc_id").distinct(), "gone")
-    return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the row of the least id, of null ids last.
+
+    Rows are told apart by stored running numbers, not by their ids: of repeated rows one stays, and an id that names several
+    texts loses only those that are duplicates. Rows without a word are no duplicates and all stay.
+    """
+    (row,) = unused(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicates(rows, id=row).select(F.col("doc_id").alias(row), "class_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
+    of = stored(classes.join(rows.select("doc_id", row), row), "classes")
+    heads = of.groupBy("class_id").agg(first, F.count("*").alias("n")).filter("n > 1").select("class_id", F.col(f"first.{row}").alias("head"))
+    # rows that go: those of classes of several rows, but the first
+    gone = stored(of.join(heads, "class_id").filter(F.col(row) != F.col("head")).select(row), "gone")
+    return rows.join(checked_broadcast(gone), row, "left_anti").select(*docs.columns)
 
 
 def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
