@@ -173,21 +173,27 @@ class Split:
     right: tuple[float, float, float]
 
 
-def best_split(histogram: np.ndarray, settings: Settings) -> Split | None:
-    """The split of largest gain; of equals the first feature and cut. ``histogram`` has gradients, hessians and rows by feature and bin."""
-    total = histogram[0].sum(axis=0)
-    left = histogram.cumsum(axis=1)[:, :-1]
+def best_splits(histograms: np.ndarray, settings: Settings) -> list[Split | None]:
+    """For each leaf the split of largest gain; of equals the first feature and cut. Histograms have gradients, hessians and rows by leaf, feature and bin."""
+    left = histograms.cumsum(axis=2)
+    total = left[:, :1, -1:]
+    left = left[:, :, :-1]
     right = total - left
-    fits = (np.minimum(left[..., 2], right[..., 2]) >= max(settings.min_rows, 1)) & (np.minimum(left[..., 1], right[..., 1]) >= settings.min_hessian)
-    if not fits.any():
-        return None
-    gain = settings.worth(left[..., 0], left[..., 1]) + settings.worth(right[..., 0], right[..., 1]) - settings.worth(*total[:2])
-    gain = np.where(fits, gain, -np.inf)
-    feature, cut = np.unravel_index(int(gain.argmax()), gain.shape)
-    # what rounding leaves of no gain is none
-    if gain[feature, cut] <= 1e-12 * (1 + float(settings.worth(*total[:2]))):
-        return None
-    return Split(float(gain[feature, cut]), int(feature), int(cut), tuple(left[feature, cut].tolist()), tuple(right[feature, cut].tolist()))
+    least = np.minimum(left[..., 1:], right[..., 1:])
+    fits = (least[..., 1] >= max(settings.min_rows, 1)) & (least[..., 0] >= settings.min_hessian)
+    whole = settings.worth(total[..., 0], total[..., 1])
+    gain = settings.worth(left[..., 0], left[..., 1]) + settings.worth(right[..., 0], right[..., 1]) - whole
+    gain[~fits] = -np.inf
+    flat = gain.reshape(len(gain), -1)
+    out: list[Split | None] = []
+    for i, at in enumerate(flat.argmax(axis=1).tolist()):
+        # what rounding leaves of no gain is none
+        if flat[i, at] <= 1e-12 * (1 + float(whole[i, 0, 0])):
+            out.append(None)
+            continue
+        feature, cut = divmod(at, gain.shape[2])
+        out.append(Split(float(flat[i, at]), feature, cut, tuple(left[i, feature, cut].tolist()), tuple(right[i, feature, cut].tolist())))
+    return out
 
 
 class Growing:
@@ -202,10 +208,12 @@ class Growing:
         self.known: dict[int, Split | None] = {}
         self.depth = {0: 0}
         self.wanted = [0]
-        self.chosen: list[int] | None = None
+        self.chosen: list[int] = []
+        self._queue: list[tuple[float, int]] = []
+        self._open: list[int] = [0]  # nodes whose splits join the queue once they are known
 
-    def learn(self, found: Mapping[int, Split | None]) -> None:
-        """Take the splits of the wanted nodes, and find out what is wanted next."""
+    def learn(self, found: Mapping[int, Split | None]) -> list[int]:
+        """Take the splits of the wanted nodes, and find out what is wanted next; returns the nodes that were split for that."""
         self.known.update(found)
         self.wanted, parents = [], self._next()
         for node in parents:
@@ -216,25 +224,27 @@ class Growing:
                     self.known[child] = None
                 else:
                     self.wanted.append(child)
-        if parents and not self.wanted:
-            self.learn({})
+        return parents + self.learn({}) if parents and not self.wanted else parents
 
     def _next(self) -> list[int]:
-        """The leaves to split and look behind; none once the order is known to its end, which ``chosen`` then holds."""
-        order, queue = [], [(-self.known[0].gain, 0)] if self.known[0] else []
-        while queue and len(order) < self.settings.leaves - 1:
-            _, node = heapq.heappop(queue)
-            order.append(node)
-            if len(order) == self.settings.leaves - 1:
-                break
-            if self.tree.feature[node] < 0:  # its children are not known yet
-                rest = [node, *(n for _, n in heapq.nsmallest(self.settings.leaves - 1 - len(order), queue))] if self.ahead else [node]
+        """The leaves to split and look behind; none once the order of splits is known to its end."""
+        most = self.settings.leaves - 1
+        while True:
+            self._open, fresh = [], self._open
+            for node in fresh:
+                if self.known[node]:
+                    heapq.heappush(self._queue, (-self.known[node].gain, node))
+            if not self._queue or len(self.chosen) >= most:
+                return []
+            _, node = heapq.heappop(self._queue)
+            self.chosen.append(node)
+            if len(self.chosen) == most:
+                return []
+            if self.tree.feature[node] < 0:
+                rest = [node, *(n for _, n in heapq.nsmallest(most - len(self.chosen), self._queue))] if self.ahead else [node]
+                self._open = [len(self.tree.feature), len(self.tree.feature) + 1]  # the numbers its children get, as it is split first
                 return [n for n in rest if self.tree.feature[n] < 0]
-            for child in (self.tree.left[node], self.tree.right[node]):
-                if self.known[child]:
-                    heapq.heappush(queue, (-self.known[child].gain, child))
-        self.chosen = order
-        return []
+            self._open = [self.tree.left[node], self.tree.right[node]]
 
     def finished(self, g: float, h: float) -> Tree:
         """The tree of the chosen splits; ``g`` and ``h`` are the root's sums."""
@@ -270,17 +280,18 @@ def train(cells: Cells, objective: str, settings: Settings, width: int) -> tuple
         trees = []
         for k in range(len(base)):
             growing, rows = Growing(settings, ahead=False), {0: np.flatnonzero(cells.n > 0)}
+            known = {0: histogram(flat[rows[0]], shape, g[rows[0], k], h[rows[0], k], cells.n[rows[0]])}
             while growing.wanted:
-                found = {}
-                for node in growing.wanted:
-                    at = rows[node]
-                    found[node] = best_split(histogram(flat[at], shape, g[at, k], h[at, k], cells.n[at]), settings)
-                growing.learn(found)
-                for node, at in list(rows.items()):
-                    if growing.tree.feature[node] >= 0:
-                        low = cells.bins[at, growing.tree.feature[node]] <= growing.tree.cut[node]
-                        rows[growing.tree.left[node]], rows[growing.tree.right[node]] = at[low], at[~low]
-                        del rows[node]
+                found = best_splits(np.stack([known[node] for node in growing.wanted]), settings)
+                for node in growing.learn(dict(zip(growing.wanted, found))):
+                    at, whole, low = rows.pop(node), known.pop(node), growing.tree.left[node]
+                    goes = cells.bins[at, growing.tree.feature[node]] <= growing.tree.cut[node]
+                    rows[low], rows[low + 1] = at[goes], at[~goes]
+                    # sums over the smaller side; the other side's are the rest
+                    small = low if len(rows[low]) <= len(rows[low + 1]) else low + 1
+                    own = rows[small]
+                    known[small] = histogram(flat[own], shape, g[own, k], h[own, k], cells.n[own])
+                    known[2 * low + 1 - small] = whole - known[small]
             trees.append(growing.finished(g[:, k].sum(), h[:, k].sum()))
         for k, tree in enumerate(trees):
             scores[:, k] += tree.scores(cells.bins)
@@ -454,7 +465,7 @@ def _train_spread(data: DataFrame, jobs: Sequence[Job], objective: str, width: i
             now, total = None, np.zeros((*shape, 3))
 
             def out() -> pa.RecordBatch:
-                split = best_split(total, jobs[now[0]].settings)
+                (split,) = best_splits(total[None], jobs[now[0]].settings)
                 return pa.RecordBatch.from_pydict({"job": [now[0]], "output": [now[1]], "node": [now[2]], "split": pa.array([pickle.dumps((split, total[0].sum(axis=0)))], pa.binary())})
 
             for batch in batches:
