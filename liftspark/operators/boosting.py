@@ -554,6 +554,11 @@ class Boosted:
                 out[:, k] += tree.scores(bins)
         return out
 
+    def split_shares(self) -> np.ndarray:
+        """For each feature the share of all splits that use it."""
+        used = np.array([f for trees in self.rounds for tree in trees for f in tree.feature if f >= 0], np.int64)
+        return np.bincount(used, minlength=len(self.features)) / max(1, len(used))
+
     def _added(self, df: DataFrame, of: Callable[[np.ndarray], list[pa.Array]], fields: Sequence[pa.Field], like: DataFrame) -> DataFrame:
         names = [f"_f{i}" for i in range(len(self.features))]
         rows = df.select("*", *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(self.features, names)])

@@ -8,9 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import keyword_only
+from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasLabelCol, HasRawPredictionCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftspark.functions.columns import last_probability
 from liftspark.operators.prefix import (
     Cells,
     assign_cells,
@@ -178,3 +184,32 @@ def mean_average_precision(df: DataFrame, query: str, item: str, score: str, rel
     return per_query.agg(
         F.avg(F.coalesce("ap", F.lit(0.0))).alias("mean_avg_precision"), F.count("*").alias("n_queries")
     )
+
+
+class AveragePrecisionEvaluator(Evaluator, HasLabelCol, HasRawPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Mean over queries of the average precision of rows ranked by score, for use in cross-validation and tuning."""
+
+    idCol: Param[str] = Param(Params._dummy(), "idCol", "unique column that orders equal scores", TypeConverters.toString)
+    queryCol: Param[str] = Param(Params._dummy(), "queryCol", "column whose values are the queries", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, rawPredictionCol="rawPrediction", labelCol="label", idCol="id", queryCol="query"):
+        super().__init__()
+        self._setDefault(idCol="id", queryCol="query")
+        self._set(**self._input_kwargs)
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.select(
+            F.col(self.getOrDefault(self.queryCol)).alias("query"),
+            F.col(self.getOrDefault(self.idCol)).alias("item"),
+            last_probability(dataset, self.getRawPredictionCol()).alias("score"),
+            F.col(self.getLabelCol()).cast("int").alias("relevant"),
+        )
+        scored = scored.persist()  # narrow, so that the model scores every row only once
+        try:
+            return mean_average_precision(scored, "query", "item", "score", "relevant").first()["mean_avg_precision"]
+        finally:
+            scored.unpersist()

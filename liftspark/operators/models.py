@@ -14,15 +14,16 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RankingEvaluator
 from pyspark.ml.param import Params
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from liftspark.functions.columns import last_probability, scrub_prediction
+from liftspark.functions.columns import scrub_prediction
 from liftspark.operators import metrics
-from liftspark.operators.features import VECTOR_COL, AutoFeatures, TrainingSet, assembler
+from liftspark.operators.boosting import Boosted, Settings, fit_boosted
+from liftspark.operators.curves import AveragePrecisionEvaluator
+from liftspark.operators.features import AutoFeatures, TrainingSet
 from liftspark.operators.gain import GainEvaluator
 
 PREDICT_TEMPLATE = "predict_{base}"
@@ -112,8 +113,14 @@ def params_of(grid: Sequence[dict], model: Params) -> dict:
     return {name: model.getOrDefault(name) for name in grid_choices(grid)}
 
 
-def evaluator(kind: str = "CG2D", label: str = "final_response", id: str = "jobid") -> Evaluator:
-    """``"mAP"``, ``"AUC"`` (of the hard class) or the cumulative gain."""
+def evaluator(kind: str = "CG2D", label: str = "final_response", id: str = "jobid", query: str | None = None) -> Evaluator:
+    """``"mAP"``, ``"AUC"`` (of the hard class) or the cumulative gain.
+
+    With ``query`` the mean average precision is that of a classifier's scores, rows being ranked within each value of that
+    column, so that it can steer a search; without, of predicted and true lists.
+    """
+    if kind == "mAP" and query:
+        return AveragePrecisionEvaluator(rawPredictionCol=predict_col("prob"), labelCol=label, idCol=id, queryCol=query)
     if kind == "mAP":
         return RankingEvaluator(
             predictionCol=predict_col("score"), labelCol=predict_col("label"), metricName="meanAveragePrecision", k=100
@@ -134,42 +141,45 @@ def feature_importance(model: Model, names: Sequence[str], like: DataFrame, top:
 
 @dataclass(frozen=True)
 class AutoModel:
-    """A fitted chain of automatic features and a boosted or forest model."""
+    """A fitted chain of automatic features and boosted trees."""
 
     features: AutoFeatures
-    model: Model
+    model: Boosted
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Id, target if known, ``prediction`` and, for classes, the probability."""
         cfg = self.features.config
-        vectors = assembler(self.features.columns).transform(self.features.transform(df))
-        scored = self.model.transform(vectors)
+        scored = self.model.transform(self.features.transform(df))
         own = [c for c in (cfg.row_id, cfg.target) if c in df.columns]
         if cfg.kind in ("classification", "propensity"):
-            scored = scored.withColumn(cfg.probability_col, last_probability(scored, "probability"))
+            scored = scored.withColumn(cfg.probability_col, F.element_at("probability", 2))
             own.append(cfg.probability_col)
         value = scrub_prediction(cfg.kind, "prediction", cfg.probability_col)
         return scored.select(*own, value.alias("prediction"))
 
     def importance(self, like: DataFrame, top: int = 15) -> DataFrame:
-        return feature_importance(self.model, self.features.columns, like, top)
+        """The features that most splits use, as shares of all splits."""
+        rows = list(zip(self.features.columns, self.model.split_shares().tolist()))
+        found = like.sparkSession.createDataFrame(rows, "feature string, importance double")
+        return found.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
 def train_auto(df: DataFrame, config: TrainingSet, **settings) -> AutoModel:
-    """Fit features and model for the task of the config."""
+    """Fit features and leaf-wise boosted trees for the task of the config; ``settings`` as in ``boosting.Settings``.
+
+    Targets of classes are 0 and 1, or 0 to the number of classes less 1.
+    """
     features = AutoFeatures(config).fit(df)
     ready = features.transform(df)
     if isinstance(ready.schema[config.target].dataType, T.StringType):
         raise TypeError("index a text target before training")
-    cols = {"featuresCol": VECTOR_COL, "labelCol": config.target, "seed": 27}
+    objective, classes = "logistic", 0
     if config.kind in ("regression", "time_series"):
-        estimator = GBTRegressor(**cols, **settings)
+        objective = "squared"
     elif config.kind == "multiclassClassification":
-        estimator = RandomForestClassifier(**cols, **settings)
-    else:
-        estimator = GBTClassifier(**cols, **settings)
-    slim = assembler(features.columns).transform(ready).select(VECTOR_COL, config.target)
-    return AutoModel(features, estimator.fit(slim))
+        # two classes at least, as softmax needs them
+        objective, classes = "softmax", max(2, int(ready.agg(F.max(config.target)).first()[0]) + 1)
+    return AutoModel(features, fit_boosted(ready, features.columns, config.target, objective, Settings(**settings), classes))
 
 
 def evaluate_auto(predicted: DataFrame, config: TrainingSet) -> DataFrame:

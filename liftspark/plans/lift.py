@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from liftspark.functions.columns import round_half_up, rounded
-from liftspark.operators import curves, metrics, overfit
+from liftspark.operators import curves, metrics, models, overfit
 from liftspark.operators import gain as G
 from liftspark.operators.prefix import ordered_prefix
 from liftspark.operators.profile import wide
@@ -286,6 +286,21 @@ def mean_avg_precision(spark, sf_dir):
     return found.withColumn("mean_avg_precision", round_half_up("mean_avg_precision"))
 
 
+MAP_SQL = f"""u AS (SELECT user_id, event_type, sum(floor(value / 100)::BIGINT) AS total, count(*) >= 2 AS rel FROM events GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY total DESC, user_id) AS rk FROM u),
+    h AS (SELECT *, sum(rel::INT) OVER (PARTITION BY event_type ORDER BY rk) AS hits FROM r),
+    a AS (SELECT event_type, coalesce(sum(CASE WHEN rel THEN hits::DOUBLE / rk END) / nullif(sum(rel::INT), 0), 0) AS ap FROM h GROUP BY 1)"""
+
+
+@query("map_evaluator", f"WITH {MAP_SQL} SELECT {r4('avg(ap)')} AS value FROM a")
+def map_evaluator(spark, sf_dir):
+    """The evaluator of ranked lists on scores that no model made: users ranked within each kind of event."""
+    pairs = checkpointed(user_types(spark, sf_dir))
+    judge = models.evaluator("mAP", "relevant", "user_id", query="event_type")
+    value = judge.evaluate(pairs.withColumn(models.predict_col("prob"), F.col("total").cast("double")))
+    return spark.createDataFrame([(value,)], "value double").withColumn("value", round_half_up("value"))
+
+
 @query(
     "confusion_matrix",
     f"WITH {ORDER_FACTS_SQL} SELECT final_response, predict_int, count(*) AS n FROM order_facts GROUP BY ALL",

@@ -139,7 +139,7 @@ def fit_auto(spark, sf_dir):
     df = checkpointed(jobs(spark, sf_dir).drop("assignment_start_dt", "assignment_start_month").hint("rebalance"))
     config = TrainingSet("jobid", "final_response", "classification")
     train, test = hash_split(df, "jobid", [0.9, 0.1])
-    model = models.train_auto(train, config, maxIter=10, maxDepth=3)
+    model = models.train_auto(train, config)
     found = models.evaluate_auto(model.predict(test), config)
     return found.select(*[round_half_up(c).alias(c) for c in found.columns])
 
@@ -196,7 +196,7 @@ def fit_auto_regression(spark, sf_dir):
     df = checkpointed(li.select("row_id", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_extendedprice"))
     config = TrainingSet("row_id", "l_extendedprice", "regression", date_field="l_shipdate")
     train, test = hash_split(df, "row_id", [0.9, 0.1])
-    model = models.train_auto(train, config, maxIter=5, maxDepth=4)
+    model = models.train_auto(train, config)
     found = models.evaluate_auto(model.predict(test), config)
     return found.select(round_half_up("mse", 2).alias("mse"), round_half_up("r2").alias("r2"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from liftspark.functions.columns import round_half_up
 from liftspark.operators import runlog as R
+from liftspark.operators.tuning import best_index
 from liftspark.plans.registry import query
 from liftspark.plans.tables import RUN_KV_SQL, RUNS_WIDE_SQL, r4, run_tables, table
 from liftspark.session import scratch_path
@@ -97,5 +98,8 @@ def cv_results(spark, sf_dir):
     ORDER BY mean_test_score DESC, learning_rate, min_child_samples LIMIT 1""",
 )
 def best_params(spark, sf_dir):
-    ordered = _cv(spark, sf_dir).orderBy(F.col("mean_test_score").desc(), "learning_rate", "min_child_samples")
-    return ordered.select("learning_rate", "min_child_samples", "mean_test_score").limit(1)
+    """The first parameter set of the largest mean, as a search picks it; one row per parameter set reaches the driver."""
+    names = ["learning_rate", "min_child_samples", "mean_test_score"]
+    rows = _cv(spark, sf_dir).select(names).orderBy(*names[:2]).collect()
+    best = rows[best_index([r["mean_test_score"] for r in rows])]
+    return spark.createDataFrame([tuple(best)], "learning_rate int, min_child_samples int, mean_test_score double")

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from liftspark.functions.columns import round_half_up
-from liftspark.operators import boosting, curves, ridge, runlog, tuning
+from liftspark.operators import boosting, curves, ridge, runlog, segments, tuning
 from liftspark.operators.gain import cumulative_gain
 from liftspark.plans.models import REGIONS
 from liftspark.plans.registry import query
@@ -239,3 +239,19 @@ def fit_expert(spark, sf_dir):
     gain = cumulative_gain(scored).first()["cg2d"]
     area = curves.auc(scored, "score", "final_response")
     return area.select(F.lit("expert").alias("method"), F.lit(scored.count()).alias("n_test"), F.lit(gain).alias("cg2d"), round_half_up("auc").alias("auc"))
+
+
+@query(
+    "fit_lr_by_segment",
+    f"""WITH {JOBS_SQL}, by_tag AS (SELECT region AS tag, dtv_flag, final_response FROM jobs UNION ALL SELECT 'national', dtv_flag, final_response FROM jobs)
+      SELECT tag, dtv_flag, count(*) AS n, {r4('avg(final_response::DOUBLE)', 6)} AS rate FROM by_tag GROUP BY ALL""",
+)
+def fit_lr_by_segment(spark, sf_dir):
+    """A model for each region and one for the nation, in the same jobs: with an indicator per flag each must reproduce its own rates."""
+    df = jobs(spark, sf_dir).select("region", "dtv_flag", "final_response")
+    both = df.withColumn("tag", F.explode(F.array("region", F.lit("national")))).drop("region")
+    flags = both.withColumns({"is_unknown": (F.col("dtv_flag") == "Unknown").cast("double"), "is_yes": (F.col("dtv_flag") == "Yes").cast("double")})
+    rows, features = checkpointed(flags), ["is_unknown", "is_yes"]
+    model = segments.fit_logistic_by(rows, ["tag"], features, "final_response", penalty=0.0)
+    scored = segments.score_by(rows, model, ["tag"], features)
+    return scored.groupBy("tag", "dtv_flag").agg(F.count("*").alias("n"), round_half_up(F.avg("score"), 6).alias("rate"))

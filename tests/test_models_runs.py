@@ -50,6 +50,10 @@ def test_evaluator_factory(spark):
     assert isinstance(M.evaluator("CG2D"), GainEvaluator)
     assert isinstance(M.evaluator("mAP"), RankingEvaluator)
     assert isinstance(M.evaluator("AUC"), BinaryClassificationEvaluator)
+    judge = M.evaluator("mAP", "y", "id", query="q")
+    rows = [(1, "a", 0.9, 1), (2, "a", 0.8, 0), (3, "a", 0.7, 1), (4, "b", 0.1, 0), (5, "b", 0.1, 1), (6, "c", 0.5, 0)]
+    scored = spark.createDataFrame(rows, "id int, q string, predict_prob double, y int")
+    assert judge.isLargerBetter() and judge.evaluate(scored) == pytest.approx(((1 + 2 / 3) / 2 + 1 / 2 + 0) / 3)
     assert M.evaluator("AUC").getRawPredictionCol() == "predict_int"
 
 
@@ -91,8 +95,7 @@ def test_best_index():
 def test_auto(data, task):
     target = "b" if task == "regression" else "final_response"
     config = TrainingSet("jobid", target, task, drop=("f",))
-    options = {"numTrees": 5} if task == "multiclassClassification" else {"maxIter": 3}
-    model = M.train_auto(data, config, **options)
+    model = M.train_auto(data, config, rounds=3)
     predicted = model.predict(data)
     assert predicted.count() == 600
     got = M.evaluate_auto(predicted, config).first().asDict()
