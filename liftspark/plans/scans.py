@@ -14,6 +14,7 @@ from liftspark.plans.registry import query
 from liftspark.plans.tables import JOBS_SQL, jobs, r4, table
 from liftspark.session import scratch_path
 from liftspark.sources import catalog, readers, snapshots, writers
+from liftspark.sources import checked as readers_checked
 
 JOB_COLUMNS = "jobid, region, assignment_start_dt, competitor_name, competitor_price, dtv_flag, final_response"
 JOB_SCHEMA = (
@@ -41,6 +42,48 @@ def scan_csv_inferred(spark, sf_dir):
     )
 
 
+CHECKED_COLUMNS = ["jobid", "region", "price", "start", "flag"]
+
+
+def _faulty(spark, sf_dir):
+    """Jobs as text, of which some have a word for a price, two fields only, or a word for a date."""
+    path, turn = scratch_path(spark, "faulty"), F.col("jobid") % 40
+    rows = jobs(spark, sf_dir).select(
+        F.col("jobid").cast("string"),
+        "region",
+        F.when(turn == 0, F.lit("n/a")).otherwise(F.col("competitor_price").cast("string")).alias("price"),
+        F.when(turn == 2, F.lit("soon")).otherwise(F.col("assignment_start_dt").cast("string")).alias("start"),
+        (F.col("final_response") == 1).cast("string").alias("flag"),
+        turn.alias("turn"),
+    )
+    rows.filter("turn <> 1").drop("turn").write.csv(path, header=True)
+    rows.filter("turn = 1").select("jobid", "region").write.mode("append").csv(path, header=True)
+    return readers_checked.read_checked(spark, path, CHECKED_COLUMNS)
+
+
+@query(
+    "scan_csv_checked",
+    f"""WITH {JOBS_SQL} SELECT jobid, region, competitor_price AS price, assignment_start_dt AS start, final_response = 1 AS flag
+      FROM jobs WHERE jobid % 40 > 2""",
+)
+def scan_csv_checked(spark, sf_dir):
+    """The lines that fit the inferred types, typed."""
+    return _faulty(spark, sf_dir).rows
+
+
+@query(
+    "scan_csv_rejects",
+    f"""WITH {JOBS_SQL} SELECT CASE jobid % 40 WHEN 0 THEN 'price is no double' WHEN 1 THEN 'number of fields' WHEN 2 THEN 'start is no date' ELSE 'none' END AS reason,
+      count(*) AS n, sum(jobid)::BIGINT AS ids FROM jobs GROUP BY 1""",
+)
+def scan_csv_rejects(spark, sf_dir):
+    """Rows and rejects are all lines."""
+    found = _faulty(spark, sf_dir)
+    ids = F.substring_index("line", ",", 1).cast("bigint").alias("jobid")
+    every = found.rejects.select("reason", ids).union(found.rows.select(F.lit("none"), "jobid"))
+    return every.groupBy("reason").agg(F.count("*").alias("n"), F.sum("jobid").alias("ids"))
+
+
 @query("scan_csv_strings", "SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders")
 def scan_csv_strings(spark, sf_dir):
     path = scratch_path(spark, "csv")
