@@ -68,6 +68,12 @@ def gain_table(
         nulls=nulls,
         empty_keys="error" if no_responders == "error" else "ignore",
     )
+    return bands(at, edges, keys)
+
+
+def bands(at: DataFrame, edges: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """The gain table of running totals at the edges: ``keys, cut`` (the edge's index), ``rank, n, total, cum``."""
+    shares = f"array({', '.join(f'{float(e)!r}D' for e in edges)})"
     names = [f"`{k}`" for k in keys]
     by_key = f"PARTITION BY {', '.join(names)}" if keys else ""
     before = f"OVER ({by_key} ORDER BY cut)"  # one row per edge

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from liftspark.functions.columns import round_half_up, rounded
-from liftspark.operators import curves, metrics, models, overfit
+from liftspark.operators import curves, increments, metrics, models, overfit
 from liftspark.operators import gain as G
 from liftspark.operators.prefix import ordered_prefix
 from liftspark.operators.profile import wide
@@ -20,7 +20,7 @@ from liftspark.plans.tables import (
     tagged_orders,
     user_types,
 )
-from liftspark.session import checkpointed
+from liftspark.session import checkpointed, scratch_path
 
 EDGES_SQL = "[" + ", ".join(str(e) for e in G.GAIN_EDGES) + "]"
 SEGMENTS = list(overfit.SEGMENT_KEYS)
@@ -86,6 +86,16 @@ def gain_table(spark, sf_dir):
     return G.gain_table(scored(spark, sf_dir))
 
 
+@query("gain_table_incremental", f"{GAIN_SQL} SELECT * FROM gains")
+def gain_table_incremental(spark, sf_dir):
+    """The orders of each year added as a part of its own; the table over all parts."""
+    path, rows = scratch_path(spark, "parts"), checkpointed(scored(spark, sf_dir).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("jobid"), F.year("o_orderdate").alias("year")), "jobid"))
+    years = [r["year"] for r in rows.select("year").distinct().orderBy("year").collect()]
+    for year in years:
+        increments.add_part(rows.filter(F.col("year") == year), path, str(year))
+    return increments.gain_table_of(spark, path)
+
+
 @query("gain_table_tied", f"WITH {ORDER_FACTS_SQL}, {gain_sql('order_facts', 'score_tied')} SELECT * FROM gains")
 def gain_table_tied(spark, sf_dir):
     return G.gain_table(scored(spark, sf_dir), "score_tied")
