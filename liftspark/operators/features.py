@@ -81,6 +81,15 @@ def feature_pipeline(
     return Pipeline(stages=stages)
 
 
+def vector_names(df: DataFrame, vector: str = VECTOR_COL) -> list[str]:
+    """The names of a vector column's elements in their order, as the assembler noted them."""
+    groups = df.schema[vector].metadata.get("ml_attr", {}).get("attrs", {})
+    known = {a["idx"]: a.get("name", str(a["idx"])) for attrs in groups.values() for a in attrs}
+    if not known or sorted(known) != list(range(len(known))):
+        raise ValueError(f"column {vector!r} does not say what its elements are")
+    return [known[i] for i in range(len(known))]
+
+
 def scaler(kind: str, input_col: str = VECTOR_COL, output_col: str = SCALED_COL):
     if kind == "l2":
         return Normalizer(p=2.0, inputCol=input_col, outputCol=output_col)

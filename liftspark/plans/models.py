@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from liftspark.functions.columns import last_probability, round_half_up
 from liftspark.operators import curves, models, tuning
-from liftspark.operators.features import TrainingSet
+from liftspark.operators.features import INDEX_SUFFIX, TrainingSet, vector_names
 from liftspark.operators.gain import cumulative_gain
 from liftspark.operators.sampling import balanced_sample, hash_split
 from liftspark.plans.features import gold_pipeline
@@ -127,9 +127,13 @@ def fit_svm_separable(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    train, _ = gold(spark, sf_dir)
+    fitted, df = gold_pipeline(spark, sf_dir)
+    # the scaler keeps the order of the elements, and the assembler their names
+    ready = fitted.transform(df)
+    names = [n.removesuffix(INDEX_SUFFIX) for n in vector_names(ready)]
+    train = checkpointed(ready.filter(is_train()).select("jobid", "final_response", "normalized"))
     estimator, _ = models.classifier("RF", "normalized")
-    found = models.feature_importance(estimator.fit(train), FEATURE_NAMES, train, top=15)
+    found = models.feature_importance(estimator.fit(train), names, train, top=15)
     return found.withColumn("importance", round_half_up("importance"))
 
 

@@ -55,7 +55,22 @@ def export_single_csv(df: DataFrame, path: str) -> None:
     fs.delete(folder, True)
 
 
-def json_records(df: DataFrame) -> str:
-    """The rows as one JSON array; the text is held by the caller, rows arrive a partition at a time."""
+#: Characters of JSON text that a caller may hold.
+JSON_LIMIT = 256 << 20
+
+
+def json_records(df: DataFrame, limit: int = JSON_LIMIT) -> str:
+    """The rows as one JSON array; rows arrive a partition at a time. A text beyond ``limit`` characters is an error: write such tables to files."""
     text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return "[" + ", ".join(r[0] for r in df.select(text).toLocalIterator()) + "]"
+    parts, size = [], 0
+    for (row,) in df.select(text).toLocalIterator():
+        size += len(row) + 2
+        if size > limit:
+            raise ValueError(f"more than {limit} characters of JSON; use write_json_records")
+        parts.append(row)
+    return "[" + ", ".join(parts) + "]"
+
+
+def write_json_records(df: DataFrame, path: str) -> None:
+    """The rows as files of one JSON object per line, written where they lie; nulls are kept."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

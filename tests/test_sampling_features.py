@@ -101,6 +101,14 @@ def test_pipeline(spark):
         FE.scaler("other")
 
 
+def test_vector_names(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA).fillna({"s": ""})
+    ready = FE.feature_pipeline(df, ["id", "y"], impute="mean").fit(df).transform(df)
+    assert FE.vector_names(ready) == ["s_INT", "v_imputed"]
+    with pytest.raises(ValueError):
+        FE.vector_names(ready, "s_INT")
+
+
 def test_too_many_categories(spark):
     df = spark.range(50).withColumn("s", F.col("id").cast("string"))
     with pytest.raises(ValueError, match="categories"):

@@ -93,6 +93,15 @@ def test_json_records(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     assert json.loads(writers.json_records(df)) == [{"a": 1, "b": None}, {"a": 2, "b": "x"}]
     assert json.loads(writers.json_records(spark.range(0))) == []
+    with pytest.raises(ValueError, match="characters"):
+        writers.json_records(spark.range(1000), limit=2000)
+
+
+def test_json_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    writers.write_json_records(df, str(tmp_path / "j"))
+    lines = [json.loads(line) for f in (tmp_path / "j").glob("part-*.json") for line in f.read_text().splitlines()]
+    assert sorted(lines, key=lambda r: r["a"]) == [{"a": 1, "b": None}, {"a": 2, "b": "x"}]
 
 
 def test_snapshots(spark, tmp_path):
