@@ -50,10 +50,6 @@ class Settings:
     l2: float = 0.0
     min_hessian: float = 1e-3
 
-    def worth(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """What a leaf of these sums contributes to a gain."""
-        return np.maximum(np.abs(g) - self.l1, 0) ** 2 / (h + self.l2 + 1e-300)
-
     def value(self, g: float, h: float) -> float:
         return -math.copysign(max(abs(g) - self.l1, 0.0), g) / (h + self.l2 + 1e-300) * self.step
 
@@ -62,6 +58,14 @@ class Settings:
 EXPERT = Settings(rounds=650, leaves=31, depth=14, step=0.01)
 
 
+@dataclass(frozen=True)
+class Job:
+    """One model to train: its settings, and the fold it does not see."""
+
+    settings: Settings
+    held: int = _NONE_HELD
+
+
 @dataclass
 class Cells:
     """Binned features, fold, count, target sums by output and the sum of squares, one entry a cell."""
@@ -173,16 +177,26 @@ class Split:
     right: tuple[float, float, float]
 
 
-def best_splits(histograms: np.ndarray, settings: Settings) -> list[Split | None]:
-    """For each leaf the split of largest gain; of equals the first feature and cut. Histograms have gradients, hessians and rows by leaf, feature and bin."""
+def worth(g: np.ndarray, h: np.ndarray, l1: np.ndarray, l2: np.ndarray) -> np.ndarray:
+    """What leaves of these sums contribute to a gain."""
+    return np.maximum(np.abs(g) - l1, 0) ** 2 / (h + (l2 + 1e-300))
+
+
+def best_splits(histograms: np.ndarray, settings: Sequence[Settings]) -> list[Split | None]:
+    """For each leaf, with its model's settings, the split of largest gain; of equals the first feature and cut.
+
+    Histograms have gradients, hessians and rows by leaf, feature and bin.
+    """
+    rules = np.array([(s.l1, s.l2, max(s.min_rows, 1), s.min_hessian) for s in settings])[:, :, None, None]
+    l1, l2 = rules[:, 0], rules[:, 1]
     left = histograms.cumsum(axis=2)
     total = left[:, :1, -1:]
     left = left[:, :, :-1]
     right = total - left
     least = np.minimum(left[..., 1:], right[..., 1:])
-    fits = (least[..., 1] >= max(settings.min_rows, 1)) & (least[..., 0] >= settings.min_hessian)
-    whole = settings.worth(total[..., 0], total[..., 1])
-    gain = settings.worth(left[..., 0], left[..., 1]) + settings.worth(right[..., 0], right[..., 1]) - whole
+    fits = (least[..., 1] >= rules[:, 2]) & (least[..., 0] >= rules[:, 3])
+    whole = worth(total[..., 0], total[..., 1], l1, l2)
+    gain = worth(left[..., 0], left[..., 1], l1, l2) + worth(right[..., 0], right[..., 1], l1, l2) - whole
     gain[~fits] = -np.inf
     flat = gain.reshape(len(gain), -1)
     out: list[Split | None] = []
@@ -262,41 +276,73 @@ class Growing:
         return out
 
 
-def histogram(flat: np.ndarray, shape: tuple[int, int], *weights: np.ndarray) -> np.ndarray:
-    """Sums of each weight by feature and bin; ``flat`` holds positions of cells in ``shape``."""
-    each, size = flat.ravel(), shape[0] * shape[1]
-    return np.stack([np.bincount(each, np.repeat(w, shape[0]), size) for w in weights], axis=-1).reshape(*shape, len(weights))
+def positions(bins: np.ndarray, width: int) -> np.ndarray:
+    """Where each cell's gradient, hessian and rows go in a histogram, for each feature."""
+    return ((bins.astype(np.int64) + np.arange(bins.shape[1]) * width)[:, :, None]) * 3 + np.arange(3)
+
+
+def histogram(at: np.ndarray, sums: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """The ``sums`` (gradient, hessian, rows) of cells by feature and bin; ``at`` are the cells' positions."""
+    weights = np.repeat(sums, at.shape[1], axis=0)
+    return np.bincount(at.ravel(), weights.ravel(), shape[0] * shape[1] * 3).reshape(*shape, 3)
+
+
+class _Here:
+    """A tree that grows on cells at hand: its rows and histograms by leaf."""
 
+    def __init__(self, cells: Cells, places: np.ndarray, shape: tuple[int, int], settings: Settings, g: np.ndarray, h: np.ndarray):
+        self.cells, self.places, self.shape, self.weights = cells, places, shape, np.stack([g, h, cells.n], axis=1)
+        self.growing = Growing(settings, ahead=False)
+        self.rows = {0: np.flatnonzero(cells.n > 0)}
+        self.known = {0: self.sums(self.rows[0])}
 
-def train(cells: Cells, objective: str, settings: Settings, width: int) -> tuple[np.ndarray, list[list[Tree]], np.ndarray]:
-    """Start scores, the trees of each round by output, and the scores of the cells, from cells that are all at hand."""
-    base = start(objective, cells.n.sum(), cells.sums.sum(axis=0))
-    scores = np.tile(base, (len(cells.n), 1))
+    def sums(self, at: np.ndarray) -> np.ndarray:
+        return histogram(self.places[at], self.weights[at], self.shape)
+
+    def learn(self, found: Mapping[int, Split | None]) -> None:
+        tree = self.growing.tree
+        for node in self.growing.learn(found):
+            at, whole, low = self.rows.pop(node), self.known.pop(node), tree.left[node]
+            goes = self.cells.bins[at, tree.feature[node]] <= tree.cut[node]
+            self.rows[low], self.rows[low + 1] = at[goes], at[~goes]
+            # sums over the smaller side; the other side's are the rest
+            small = low if len(self.rows[low]) <= len(self.rows[low + 1]) else low + 1
+            self.known[small] = self.sums(self.rows[small])
+            self.known[2 * low + 1 - small] = whole - self.known[small]
+
+
+def train(cells: Cells, objective: str, jobs: Sequence[Job], width: int) -> list[tuple[np.ndarray, list[list[Tree]], np.ndarray]]:
+    """For each job the start scores, the trees of each round by output, and the scores of the cells, from cells that are all at hand.
+
+    Jobs go in step, so that the splits of all their leaves are searched together.
+    """
     shape = (cells.bins.shape[1], width)
-    flat = cells.bins.astype(np.int64) + np.arange(shape[0]) * width
-    rounds: list[list[Tree]] = []
-    for _ in range(settings.rounds):
-        g, h = gradients(objective, scores, cells)
-        trees = []
-        for k in range(len(base)):
-            growing, rows = Growing(settings, ahead=False), {0: np.flatnonzero(cells.n > 0)}
-            known = {0: histogram(flat[rows[0]], shape, g[rows[0], k], h[rows[0], k], cells.n[rows[0]])}
-            while growing.wanted:
-                found = best_splits(np.stack([known[node] for node in growing.wanted]), settings)
-                for node in growing.learn(dict(zip(growing.wanted, found))):
-                    at, whole, low = rows.pop(node), known.pop(node), growing.tree.left[node]
-                    goes = cells.bins[at, growing.tree.feature[node]] <= growing.tree.cut[node]
-                    rows[low], rows[low + 1] = at[goes], at[~goes]
-                    # sums over the smaller side; the other side's are the rest
-                    small = low if len(rows[low]) <= len(rows[low + 1]) else low + 1
-                    own = rows[small]
-                    known[small] = histogram(flat[own], shape, g[own, k], h[own, k], cells.n[own])
-                    known[2 * low + 1 - small] = whole - known[small]
-            trees.append(growing.finished(g[:, k].sum(), h[:, k].sum()))
-        for k, tree in enumerate(trees):
-            scores[:, k] += tree.scores(cells.bins)
-        rounds.append(trees)
-    return base, rounds, scores
+    places = positions(cells.bins, width)
+    own = [cells.without(job.held) for job in jobs]
+    bases = [start(objective, c.n.sum(), c.sums.sum(axis=0)) for c in own]
+    scores = [np.tile(base, (len(cells.n), 1)) for base in bases]
+    rounds: list[list[list[Tree]]] = [[] for _ in jobs]
+    for turn in range(max(job.settings.rounds for job in jobs)):
+        growing: list[list[_Here]] = [[] for _ in jobs]
+        for i, job in enumerate(jobs):
+            if turn < job.settings.rounds:
+                g, h = gradients(objective, scores[i], own[i])
+                growing[i] = [_Here(own[i], places, shape, job.settings, g[:, k], h[:, k]) for k in range(len(bases[i]))]
+        every = [here for trees in growing for here in trees]
+        while open_ := [here for here in every if here.growing.wanted]:
+            wanted = [(here, node) for here in open_ for node in here.growing.wanted]
+            found = best_splits(np.stack([here.known[node] for here, node in wanted]), [here.growing.settings for here, _ in wanted])
+            by_tree: dict[int, dict[int, Split | None]] = {}
+            for (here, node), split in zip(wanted, found):
+                by_tree.setdefault(id(here), {})[node] = split
+            for here in open_:
+                here.learn(by_tree[id(here)])
+        for i, trees in enumerate(growing):
+            if trees:
+                rounds[i].append([here.growing.finished(*here.weights[:, :2].sum(axis=0).tolist()) for here in trees])
+                for k, tree in enumerate(rounds[i][-1]):
+                    scores[i][:, k] += tree.scores(cells.bins)
+    return list(zip(bases, rounds, scores))
 
 
 # data
@@ -384,14 +430,6 @@ def blocks(table: DataFrame, size: int) -> DataFrame:
 # training
 
 
-@dataclass(frozen=True)
-class Job:
-    """One model to train: its settings, and the fold it does not see."""
-
-    settings: Settings
-    held: int = _NONE_HELD
-
-
 def _train_here(data: DataFrame, jobs: Sequence[Job], objective: str, width: int, keep: bool) -> list[tuple]:
     """Train on a single block: groups of jobs are spread over tasks, each with the block."""
     groups = -(-len(jobs) // MODELS_PER_TASK)
@@ -399,12 +437,10 @@ def _train_here(data: DataFrame, jobs: Sequence[Job], objective: str, width: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group, packed in zip(batch.column("group").to_pylist(), batch.column("data").to_pylist()):
-                cells = Cells.unpacked(packed)
-                for i in range(group, len(jobs), groups):
-                    job = jobs[i]
-                    base, rounds, scores = train(cells.without(job.held), objective, job.settings, width)
-                    at = cells.fold == job.held
-                    value = loss(objective, scores[at], cells.only(job.held)) if at.any() else None
+                cells, mine = Cells.unpacked(packed), range(group, len(jobs), groups)
+                for i, (base, rounds, scores) in zip(mine, train(cells, objective, [jobs[i] for i in mine], width)):
+                    at = cells.fold == jobs[i].held
+                    value = loss(objective, scores[at], cells.only(jobs[i].held)) if at.any() else None
                     model = pickle.dumps((base, rounds)) if keep else None
                     yield pa.RecordBatch.from_pydict({"job": [i], "loss": pa.array([value], pa.float64()), "model": pa.array([model], pa.binary())})
 
@@ -451,21 +487,21 @@ def _train_spread(data: DataFrame, jobs: Sequence[Job], objective: str, width: i
                 for packed, held in zip(batch.column("data").to_pylist(), batch.column("scores").to_pylist()):
                     cells = Cells.unpacked(packed)
                     scores = scored(cells, held, trees)
-                    flat = cells.bins.astype(np.int64) + np.arange(shape[0]) * width
+                    places = positions(cells.bins, width)
                     for (i, k), (tree, nodes) in wanted.items():
                         own = cells.without(jobs[i].held)
                         g, h = gradients(objective, scores[i], own)
                         leaf = tree.leaf_of(cells.bins)
                         for node in nodes:
                             at = np.flatnonzero((leaf == node) & (own.n > 0))
-                            sums = histogram(flat[at], shape, g[at, k], h[at, k], own.n[at])
+                            sums = histogram(places[at], np.stack([g[at, k], h[at, k], own.n[at]], axis=1), shape)
                             yield pa.RecordBatch.from_pydict({"job": [i], "output": [k], "node": [node], "sums": pa.array([sums.tobytes()], pa.binary())})
 
         def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, total = None, np.zeros((*shape, 3))
 
             def out() -> pa.RecordBatch:
-                (split,) = best_splits(total[None], jobs[now[0]].settings)
+                (split,) = best_splits(total[None], [jobs[now[0]].settings])
                 return pa.RecordBatch.from_pydict({"job": [now[0]], "output": [now[1]], "node": [now[2]], "split": pa.array([pickle.dumps((split, total[0].sum(axis=0)))], pa.binary())})
 
             for batch in batches:
@@ -609,9 +645,12 @@ def fit_boosted(
 
 @dataclass(frozen=True)
 class Halving:
-    """Search in rungs: all points with ``first`` rounds, then the best ``1 / keep`` with ``keep`` times as many, up to all rounds."""
+    """Search in rungs: all points with ``first`` rounds, then the best ``1 / keep`` with ``keep`` times as many, up to all rounds.
+
+    Points that learn slowly are judged early; a larger ``first`` gives them more time.
+    """
 
-    first: int = 11
+    first: int = 4
     keep: int = 3
 
     def rungs(self, points: int, rounds: int) -> Iterator[tuple[int, int]]:

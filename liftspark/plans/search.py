@@ -162,7 +162,7 @@ REGRESSION_CHOICES = {
 def cv_grid_regression(spark, sf_dir):
     """Leaf-wise boosted trees at 180 points on five folds, all from one aggregation of the rows.
 
-    Searched by halving: all points with 11 rounds, the best third with 33, and so on; ``rounds`` says how far a point came. Without
+    Searched by halving: all points with 4 rounds, the best third with 12, and so on; ``rounds`` says how far a point came. Without
     ``halving`` every point gets its 100 rounds.
     """
     li = table(spark, sf_dir, "lineitem").withColumn("row_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
