@@ -36,7 +36,10 @@ class Cells:
 
 
 def add_part(df: DataFrame, path: str, part: str, score: str = "score", label: str = "final_response", id: str = "jobid", cells: Cells = Cells()) -> None:
-    """Write one part, in place of what it had before. Missing scores are an error, missing labels count as 0."""
+    """Write one part, in place of what it had before. Missing scores are an error, missing labels count as 0.
+
+    Rows come first, then their histogram; a part whose writing was cut off is to be written again.
+    """
     rows = df.select(F.col(id).alias("id"), F.col(score).cast("double").alias("score"), F.coalesce(F.col(label).cast("long"), F.lit(0)).alias("label"))
     wrong = rows.filter(F.col("score").isNull() | F.isnan("score"))
     if not wrong.isEmpty():
