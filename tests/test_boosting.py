@@ -164,3 +164,11 @@ def test_halving(spark):
     for r in rows:
         if r.rounds == 8:
             assert r.loss == pytest.approx(full[r.trial, r.fold])
+
+
+def test_one_model_on_many_cells_takes_no_passes(spark, monkeypatch):
+    """Passes cost a job each: a table that a task can hold is trained on at once, though it has many blocks of cells."""
+    monkeypatch.setattr(B, "_train_spread", lambda *_: pytest.fail("passes"))
+    df = spark.range(80_000).selectExpr("id % 251 AS a", "id % 241 AS b", "id % 239 AS c", "id % 251 + 0.5 * (id % 241) AS y")
+    model = B.fit_boosted(df, ["a", "b", "c"], "y", "squared", B.Settings(rounds=2, leaves=4, step=1.0))
+    assert model.split_shares()[2] == 0 and [len(t.feature) for row in model.rounds for t in row] == [7, 7]
