@@ -57,13 +57,15 @@ def schema_profile(df: DataFrame, exclude: Iterable[str] = (), strict: bool = Fa
 
 
 def fill_by_type(
-    df: DataFrame, numeric: float = 0, string: str = "", boolean: bool | None = None
+    df: DataFrame, numeric: float = 0, string: str = "", boolean: bool | None = None, skip: Iterable[str] = ()
 ) -> DataFrame:
-    """Fill nulls (and NaN) by column class; booleans only on request."""
-    out = df.fillna(numeric).fillna(string)
+    """Fill nulls (and NaN) by column class; booleans only on request. Columns in ``skip``, such as keys, stay as they are."""
+    keep = set(skip)
+    cols = [f.name for f in df.schema if f.name not in keep]
+    out = df.fillna(numeric, cols).fillna(string, cols) if cols else df
     if boolean is None:
         return out
-    flags = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)]
+    flags = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType) and f.name not in keep]
     return out.fillna(boolean, flags) if flags else out
 
 

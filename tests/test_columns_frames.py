@@ -1,12 +1,15 @@
 import datetime as dt
 
+import duckdb
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from liftspark.functions import columns as C
 from liftspark.functions import frames as FR
 from liftspark.functions.hashing import hash_bucket
+from tests.oracle import compare
 
 
 def test_rounding(spark):
@@ -114,3 +117,19 @@ def test_hash_bucket(spark):
     assert native == 0
     with pytest.raises(ValueError):
         hash_bucket("id", 3, "sha")
+
+
+def test_fill_by_type_leaves_keys(spark):
+    df = spark.createDataFrame([(None, None, None, None)], "k bigint, t string, v double, s string")
+    assert tuple(FR.fill_by_type(df, skip=["k", "t"]).first()) == (None, None, 0.0, "")
+
+
+def test_fill_by_type_query_on_null_keys(spark, tmp_path):
+    """The query's SQL fills quantity, line and flag only."""
+    rows = [(None, 1, 2.0, "A", "F"), (1, None, 3.0, None, "O"), (2, 3, None, "R", None)]
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    verdict, n = compare(spark, con, entry.queries()["fill_by_type"], entry.oracle_sql()["fill_by_type"], str(tmp_path))
+    assert (verdict, n) == ("", 3)
