@@ -14,6 +14,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftspark.session import dealt
+
+#: Rows that one task sorts; a row of a key takes some 120 bytes.
+TASK_ROWS = 1_000_000
+
 RUNS_SCHEMA = "run_id string, run_name string, status string, start_time timestamp"
 KV_SCHEMA = "run_id string, key string, step int, value double, text string, kind string"
 ATTEMPT_SCHEMA = "attempt string, logged_at bigint"
@@ -51,7 +56,8 @@ def log_runs(spark: SparkSession, path: str, runs: Sequence[Mapping]) -> None:
 def append_log(path: str, runs: DataFrame, kv: DataFrame) -> None:
     """Append frames to the log as one attempt; the keys first, so that a listed run is complete."""
     attempt = {"attempt": F.lit(uuid.uuid4().hex), "logged_at": F.lit(time.time_ns())}
-    kv.withColumns(attempt).write.mode("append").partitionBy("kind").parquet(f"{path}/run_kv")
+    # writing by kind sorts what a task has
+    dealt(kv, "run_id", rows=TASK_ROWS).withColumns(attempt).write.mode("append").partitionBy("kind").parquet(f"{path}/run_kv")
     runs.withColumns(attempt).write.mode("append").parquet(f"{path}/runs")
 
 
@@ -66,24 +72,29 @@ def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     runs = spark.read.schema(f"{RUNS_SCHEMA}, {ATTEMPT_SCHEMA}").parquet(f"{path}/runs")
     names = [c.split()[0] for c in RUNS_SCHEMA.split(", ")]
     last = F.max(F.struct("start_time", "logged_at", *names[1:-1])).alias("last")
-    once = runs.groupBy("run_id").agg(last).select("run_id", "last.*").select(*names)
+    once = dealt(runs, "run_id", rows=TASK_ROWS).groupBy("run_id").agg(last).select("run_id", "last.*").select(*names)
     kv = spark.read.schema(f"{KV_SCHEMA}, {ATTEMPT_SCHEMA}").parquet(f"{path}/run_kv")
-    complete = kv.join(runs.select("run_id", "attempt").distinct(), ["run_id", "attempt"], "left_semi")
+    parts, of = max(1, -(-kv.count() // TASK_ROWS)), ("run_id", "key", "step", "kind")
+    listed = runs.select("run_id", "attempt").repartition(parts, "run_id", "attempt")
+    complete = kv.repartition(parts, "run_id", "attempt").join(listed, ["run_id", "attempt"], "left_semi")
     value = F.max_by(F.struct("value", "text"), F.struct("logged_at", "attempt")).alias("v")
-    newest = complete.groupBy("run_id", "key", "step", "kind").agg(value)
+    newest = complete.repartition(parts, *of).groupBy(*of).agg(value)
     return once, newest.select("run_id", "key", "step", "v.value", "v.text", "kind")
 
 
 def runs_wide(
     kv: DataFrame, metrics: Sequence[str] = (), params: Sequence[str] = (), tags: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per run with the latest value of each named key."""
+    """One row per run with the latest value of each named key.
+
+    Texts can't be aggregated without sorting the rows, so these are dealt out before they meet, and not sorted by the tasks that read them.
+    """
 
     def latest(kind: str, key: str, col: str) -> Column:
         mine = (F.col("kind") == kind) & (F.col("key") == key)
         return F.max_by(F.when(mine, F.col(col)), F.when(mine, F.col("step"))).alias(f"{kind}_{key}")
 
-    return kv.groupBy("run_id").agg(
+    return dealt(kv, "run_id", rows=TASK_ROWS).groupBy("run_id").agg(
         *[latest("metric", k, "value") for k in metrics],
         *[latest("param", k, "text") for k in params],
         *[latest("tag", k, "text") for k in tags],

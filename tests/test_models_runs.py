@@ -146,3 +146,15 @@ def test_overfit(spark):
     assert first.count() == 3
     stacked = O.stack({"d02": lift.select("tag", "group"), "d03": lift.select("tag", "gain_cum")})
     assert stacked.count() == 36 and {r["tag"] for r in stacked.collect()} >= {"a_d02", "b_c_d03"}
+
+
+def test_run_log_rows_of_a_task_are_bounded(spark, tmp_path, monkeypatch):
+    """What a task sorts goes by rows, not by compressed bytes; the answers stay the same."""
+    monkeypatch.setattr(R, "TASK_ROWS", 50, raising=False)
+    path = str(tmp_path / "log")
+    R.log_runs(spark, path, [{"run_id": f"r{i}", "params": {"p": i}, "metrics": {"m": [i, i + 0.5]}, "tags": {"t": "x"}} for i in range(100)])
+    kv = R.read_log(spark, path)[1]
+    assert kv.rdd.getNumPartitions() == 8 and kv.count() == 400
+    wide = R.runs_wide(kv, ["m"], ["p"], ["t"])
+    assert wide.rdd.getNumPartitions() == 8
+    assert {tuple(r) for r in wide.collect()} == {(f"r{i}", i + 0.5, str(i), "x") for i in range(100)}
