@@ -158,3 +158,12 @@ def test_run_log_rows_of_a_task_are_bounded(spark, tmp_path, monkeypatch):
     wide = R.runs_wide(kv, ["m"], ["p"], ["t"])
     assert wide.rdd.getNumPartitions() == 8
     assert {tuple(r) for r in wide.collect()} == {(f"r{i}", i + 0.5, str(i), "x") for i in range(100)}
+
+
+def test_rows_of_a_training_partition_are_bounded(spark, monkeypatch):
+    from liftspark.plans import models as plans
+
+    monkeypatch.setattr(plans, "TRAIN_ROWS", 50, raising=False)
+    ready = plans.for_training(spark.range(2000).withColumnRenamed("id", "jobid").coalesce(1))
+    sizes = ready.rdd.glom().map(len).collect()
+    assert len(sizes) == 40 and max(sizes) < 100 and sum(sizes) == 2000
