@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import keyword_only
+from pyspark.ml import Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasRawPredictionCol
@@ -151,3 +152,20 @@ class GainEvaluator(
             return cumulative_gain(scored, "score", "label", "id", depth=depth).first()["cg2d"]
         finally:
             scored.unpersist()
+
+    def evaluate_all(self, dataset: DataFrame, models: Sequence[Model]) -> list[float]:
+        """``evaluate`` of the rows as each model scores them. The rankings share their jobs, whose number is that of one ranking."""
+        rows, scores = dataset, []
+        for i, model in enumerate(models):
+            predicted = model.transform(rows)
+            scores.append(f"_score_{i}")
+            rows = predicted.select(*rows.columns, last_probability(predicted, self.getOrDefault(self.rawPredictionCol)).alias(scores[-1]))
+        wide = rows.select(
+            F.col(self.getOrDefault(self.idCol)).alias("id"), F.col(self.getLabelCol()).cast("int").alias("label"), F.array(*scores).alias("scores")
+        ).persist()
+        try:
+            each = wide.select("id", "label", F.posexplode("scores").alias("model", "score"))
+            found = cumulative_gain(each, "score", "label", "id", ["model"], depth=self.getOrDefault(self.depth)).collect()
+        finally:
+            wide.unpersist()
+        return [r["cg2d"] for r in sorted(found, key=lambda r: r["model"])]

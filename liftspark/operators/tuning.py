@@ -21,6 +21,8 @@ from liftspark.operators import runlog
 from liftspark.operators.sampling import hash_split, with_fold
 
 RESULT_SCHEMA = "trial int, params string, score double, score_std double"
+#: Models whose scores of a row are held at once.
+TOGETHER = 16
 
 
 def label_of(point: dict) -> str:
@@ -46,23 +48,69 @@ def _scores(
     """Fit every map on the training side of every pair and score it on the other: by pair, then by map.
 
     All pairs and maps form one queue, so that the end of a fold leaves no core idle. Sides are read once per
-    fit, so they are cached for the duration.
+    fit, so they are cached for the duration. Maps that differ only in the limit of iterations share the model of a fit that
+    stopped before their limits. An evaluator with ``evaluate_all`` judges up to ``TOGETHER`` models in the same jobs;
+    ensembles of trees are too large to be kept for that and are judged one by one.
     """
     held = [(train.persist(), valid.persist()) for train, valid in sides]
-
-    def score(job: tuple[int, dict]) -> float:
-        train, valid = held[job[0]]
-        return evaluator.evaluate(estimator.fit(train, job[1]).transform(valid))
-
-    queue = [(i, point) for i in range(len(held)) for point in grid]
+    found = [[math.nan] * len(grid) for _ in held]
+    together = hasattr(evaluator, "evaluate_all")
+
+    def fit(job: tuple[int, list[int]]) -> list[tuple[int, list[int], Model | None]]:
+        (pair, maps), out, stop, at = job, [], math.inf, []
+        for n, i in enumerate(maps):  # the largest limit first
+            if not n or stop > _limit(estimator, grid[i]):
+                model, at = estimator.fit(held[pair][0], grid[i]), []
+                stop = iterations(model)
+                kept = model if together and not hasattr(model, "trees") else None
+                out.append((pair, at, kept))
+                value = math.nan if kept else evaluator.evaluate(model.transform(held[pair][1]))
+            at.append(i)
+            found[pair][i] = value
+        return out
+
+    def judge(part: list[tuple[int, list[int], Model]]) -> None:
+        values = evaluator.evaluate_all(held[part[0][0]][1], [model for _, _, model in part])
+        for (pair, maps, _), value in zip(part, values):
+            for i in maps:
+                found[pair][i] = value
+
+    threaded = inheritable_thread_target(held[0][0].sparkSession)
+    queue = [(pair, maps) for maps in by_limit(estimator, grid) for pair in range(len(held))]
     try:
         with ThreadPool(min(parallelism, len(queue))) as pool:
-            found = pool.map(inheritable_thread_target(held[0][0].sparkSession)(score), queue, chunksize=1)
+            fits = [f for out in pool.map(threaded(fit), queue, chunksize=1) for f in out if f[2]]
+            by_pair = [[f for f in fits if f[0] == pair] for pair in range(len(held))]
+            pool.map(threaded(judge), [fs[i : i + TOGETHER] for fs in by_pair for i in range(0, len(fs), TOGETHER)], chunksize=1)
     finally:
         for side in held:
             for df in side:
                 df.unpersist()
-    return [found[i : i + len(grid)] for i in range(0, len(found), len(grid))]
+    return found
+
+
+def _limit(estimator: Estimator, point: dict) -> float:
+    return point[estimator.getParam("maxIter")]
+
+
+def by_limit(estimator: Estimator, grid: Sequence[dict]) -> list[list[int]]:
+    """The maps in groups that agree in all but ``maxIter``, each with the largest limit first; a map without it is a group."""
+    groups: dict[str | int, list[int]] = {}
+    for i, point in enumerate(grid):
+        rest = {p: v for p, v in point.items() if p.name != "maxIter"}
+        groups.setdefault(label_of(rest) if len(rest) < len(point) else i, []).append(i)
+    return [sorted(g, key=lambda i: -_limit(estimator, grid[i])) if len(g) > 1 else g for g in groups.values()]
+
+
+def iterations(model: Model) -> float:
+    """After how many iterations a fit stopped; infinity if the model does not say so.
+
+    Up to there a fit does the same under any limit, so one with a limit of at least as many ends with the same model.
+    """
+    if not getattr(model, "hasSummary", False):
+        return math.inf
+    summary = model.summary() if callable(model.summary) else model.summary
+    return getattr(summary, "totalIterations", math.inf)
 
 
 def grid_search(

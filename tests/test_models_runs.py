@@ -84,6 +84,20 @@ def test_search(data):
     assert scores.count() == 2 and model.transform(data).count() == 600
 
 
+def test_limits_of_iterations_share_a_fit(data, monkeypatch):
+    """A fit that stops by itself stands for all maps with a larger limit; what the others get is what they'd get alone."""
+    estimator, _ = M.classifier("LR", "f")
+    grid = M.param_grid(estimator, {"maxIter": [1, 30, 60], "regParam": [0.01, 0.9]})
+    alone = [M.evaluator().evaluate(estimator.fit(data, point).transform(data)) for point in grid]
+    fits, plain = [], type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, df, point=None: fits.append(point) or plain(self, df, point))
+    (scores,) = T._scores([(data, data)], estimator, grid, M.evaluator(), 2)
+    assert scores == alone
+    limits = sorted(p[estimator.maxIter] for p in fits)
+    assert limits in ([1, 1, 60, 60], [1, 60, 60], [60, 60])
+    assert T.by_limit(estimator, [{}, {}]) == [[0], [1]] and T.by_limit(estimator, grid) == [[4, 2, 0], [5, 3, 1]]
+
+
 def test_best_index():
     assert T.best_index([0.1, 0.3, 0.3]) == 1
     assert T.best_index([0.0, 0.0]) == 0
