@@ -60,6 +60,14 @@ def test_repeats(stages):
             assert all(w in words for w in after[i].text.split()) and after[i].n_chars == len(after[i].text)
 
 
+def test_repeats_whose_phrases_are_common(spark):
+    """An edited passage goes though each of its phrases lies in more documents than a phrase leads to at once."""
+    docs = spark.createDataFrame(test_chains.phrases_elsewhere(random.Random(12), 9), SCHEMA).repartition(5)
+    before, after = rows_of(docs), rows_of(pipeline.repeats_removed(spark, docs, SF))
+    assert len(after[10_001].text.split()) <= 26 < len(before[10_001].text.split())
+    assert all(after[i].text == r.text for i, r in before.items() if i != 10_001)
+
+
 def test_mix(stages):
     size, taken = {}, {}
     for r in stages[3].collect():
