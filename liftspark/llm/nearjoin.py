@@ -28,6 +28,8 @@ WORDS = 5
 THRESHOLD = "0.8"
 VALUES, TREES, DEPTH = 128, 112, 8
 TARGET_RECALL = 0.9999
+#: Prefixes of a part, on average; a task holds a few times as many.
+PART_ROWS = 500_000
 #: Nodes and shingles of a block, on average.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
 
@@ -86,24 +88,69 @@ def _sign(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
-def _prefixes(depth: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefixes(depth: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefixes of all trees with their nodes, packed by part of the range of hashes."""
     order = tree_values()[:, :depth]
     seeds = mix(np.arange(1, TREES + 1, dtype=np.uint64))
     for batch in batches:
         for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
-            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(part.num_rows, VALUES)
+            keys, first = np.unique(part.column("key").to_numpy(zero_copy_only=False), return_index=True)
+            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(part.num_rows, VALUES)[first]
             prefix = np.broadcast_to(seeds, (len(sig), TREES)).copy()
             for level in range(depth):
                 prefix = mix(prefix ^ sig[:, order[:, level]])
-            keys = part.column("key").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64).ravel()), pa.array(np.repeat(keys, TREES))], names=["prefix", "key"])
+            prefix = prefix.ravel()
+            at = np.argsort(prefix)
+            rows = np.stack([prefix[at].view(np.int64), keys[at // TREES]], 1)
+            where = (prefix[at] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            cut = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            data = [rows[i:j].tobytes() for i, j in zip(cut, np.append(cut[1:], len(rows)))]
+            yield pa.RecordBatch.from_arrays([pa.array(where[cut].astype(np.int64)), pa.array(data, pa.binary())], names=["part", "rows"])
+
+
+def bucket_links(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From rows of prefix and node: the least node of each prefix, and a link to it from each other one."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.append(True, rows[1:, 0] != rows[:-1, 0])
+    heads = rows[new]
+    links = np.stack([rows[:, 1], heads[np.cumsum(new) - 1, 1]], 1)
+    return heads, links[links[:, 0] != links[:, 1]]
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the nodes in each prefix, from rows sorted by part; of rows seen only the least node of each prefix is kept."""
+    now: int | None = None
+    held: list[np.ndarray] = []
+    n = most = 0
+
+    def settled() -> pa.RecordBatch:
+        nonlocal held, n, most
+        heads, links = bucket_links(np.concatenate(held))
+        held, n, most = [heads], len(heads), max(2 * len(heads), 2 * PART_ROWS)
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["key", "head"])
 
-
-def candidate_links(nodes: DataFrame, depth: int) -> DataFrame:
-    """Links from each node to the least of its bucket, over the buckets of all trees."""
-    rows = nodes.select("key", "sig").mapInArrow(lambda b: _prefixes(depth, b), "prefix long, key long")
-    heads = rows.groupBy("prefix").agg(F.min("key").alias("head"), F.max("key").alias("last")).filter("head < last").drop("last")
-    return rows.join(heads, "prefix").filter("key <> head").select("key", "head").distinct()
+    for batch in batches:
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("rows")):
+            if part != now:
+                if now is not None:
+                    yield settled()
+                now, held, n, most = part, [], 0, 2 * PART_ROWS
+            held.append(np.frombuffer(data.as_py(), np.int64).reshape(-1, 2))
+            n += len(held[-1])
+            if n > most:
+                yield settled()
+    if now is not None:
+        yield settled()
+
+
+def candidate_links(signed: DataFrame, depth: int) -> DataFrame:
+    """Links that connect the nodes of each bucket, over the buckets of all trees: as many as its members, mostly to the least of them.
+
+    ``signed`` has ``key, sig`` of each node at least once. Prefixes are shuffled once, as packed arrays.
+    """
+    parts = max(1, -(-signed.count() * TREES // PART_ROWS))
+    rows = signed.select("key", "sig").mapInArrow(lambda b: _prefixes(depth, parts, b), "part long, rows binary")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_links, "key long, head long").distinct()
 
 
 def _shared(sets: list[np.ndarray], left: int) -> np.ndarray:
@@ -216,7 +263,7 @@ def verified(rows: DataFrame, nodes: DataFrame, links: DataFrame, words: int, th
     ``root`` is a node that it is connected with inside the blocks, the same for all so connected; ``whole`` says that they were the whole component.
     """
     comp = components(links).select(F.col("node").alias("key"), F.col("root").alias("comp"))
-    members = stored(nodes.drop("sig").join(comp, "key"), "members")
+    members = stored(nodes.join(comp, "key"), "members")
     sizes = members.groupBy("comp").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
     )
@@ -261,12 +308,11 @@ def near_duplicates(
     limit = Fraction(threshold)
     rows = documents.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = stored(rows.mapInArrow(lambda b: _sign(words, b), "doc_id long, key long, n long, sig binary"), "signed")
-    present = signed.filter(F.col("doc_id").isNotNull() & F.col("sig").isNotNull())
-    counted = present.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    nodes = stored(present.select("key", "n", "sig").dropDuplicates(["key"]).join(counted, "key"), "nodes")
+    present = signed.filter("doc_id is not null and n > 0")
+    nodes = stored(present.groupBy("key").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
     depth = DEPTH
     while True:
-        found = verified(rows, nodes, candidate_links(nodes, depth), words, limit, depth)
+        found = verified(rows, nodes, candidate_links(present, depth), words, limit, depth)
         links, expected = found.agg(F.sum("text_links"), F.sum("expected")).first()
         if depth == 1 or (links >= target_recall * expected if links else detection(float(limit), depth) >= target_recall):
             break

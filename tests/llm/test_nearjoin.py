@@ -3,6 +3,8 @@ import re
 from fractions import Fraction
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from liftspark.llm import nearjoin
@@ -131,3 +133,39 @@ def test_prefixes_are_shortened(spark, monkeypatch):
     monkeypatch.setattr(nearjoin, "TARGET_RECALL", 0.9)
     got = sorted(tuple(r) for r in near_duplicates(docs, target_recall=0.0).collect())
     assert seen == [60] and got == brute(rows)
+
+
+@pytest.mark.parametrize("most", [1, 40, 10**6])
+def test_links_of_buckets(monkeypatch, most):
+    """Packed prefixes give links that connect each bucket, and few rows are held, in whatever order and parts they come."""
+    monkeypatch.setattr(nearjoin, "PART_ROWS", most)
+    rng = np.random.default_rng(3)
+    rows = np.stack([rng.integers(-30, 30, 3000), rng.integers(0, 200, 3000)], 1)
+    want = {p: set(rows[rows[:, 0] == p, 1].tolist()) for p in set(rows[:, 0].tolist())}
+    held = []
+    monkeypatch.setattr(nearjoin, "bucket_links", lambda r, real=nearjoin.bucket_links: held.append(len(r)) or real(r))
+    for p, nodes in want.items():
+        own = rows[rows[:, 0] == p]
+        batches = [pa.record_batch([pa.array([0, 0]), pa.array([x.tobytes() for x in np.array_split(part, 2)])], names=["part", "rows"]) for part in np.array_split(own, 4)]
+        root = {i: i for i in nodes}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for batch in nearjoin._links(iter(batches)):
+            for key, head in zip(*(c.to_pylist() for c in batch.columns)):
+                assert head < key
+                root[find(key)] = find(head)
+        assert len({find(i) for i in nodes}) == 1
+    assert max(held) <= 2 * most + 30 or most == 10**6
+
+
+def test_prefixes_are_shuffled_packed(spark):
+    """A shuffled row for each part and 2,048 nodes, not one for each prefix."""
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, prose(rng, 30), "en", "a", 1) for i in range(500)], SCHEMA).coalesce(1)
+    signed = docs.select("doc_id", "text").mapInArrow(lambda b: nearjoin._sign(5, b), "doc_id long, key long, n long, sig binary")
+    batches = [b for b in signed.mapInArrow(lambda b: nearjoin._prefixes(8, 7, b), "part long, rows binary").collect()]
+    assert sorted(r.part for r in batches) == list(range(7)) and sum(len(r.rows) for r in batches) == 500 * nearjoin.TREES * 16
